@@ -17,65 +17,75 @@ HOT_PARTS = 256  # parts a hot key is spread over
 LIST_PART = 10_000  # longest list kept in one row
 
 
-def hot_keys(df: DataFrame, key: str, share: int = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys that hold more than 1/share of all rows: at most ``share`` rows by construction."""
+def key_code(columns: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(f"`{c}`") for c in columns])
+
+
+def hot_keys(df: DataFrame, *keys: str | Sequence[str], share: int = HOT_SHARE, min_rows: int = HOT_ROWS) -> list[int]:
+    """Hash codes of keys that hold more than 1/share of all rows.
+
+    By construction there are at most ``share`` of them per key column, so the list can
+    live in the plan as a literal. It only decides where rows go, never what a join returns. One pass
+    over the key columns with partial counts; chained joins should share one list.
+    """
+    codes = [key_code([k] if isinstance(k, str) else k) for k in keys]
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return (
-        df.filter(F.col(key).isNotNull())
-        .groupBy(F.col(key).alias("_hot"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter((F.col("_n") > min_rows) & (F.col("_n") * F.lit(share) > total))
-        .select("_hot")
-    )
+    counts = df.select(F.explode(F.array(*codes)).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    hot = counts.filter((F.col("n") > min_rows) & (F.col("n") * F.lit(share) > total))
+    return [r["code"] for r in hot.select("code").collect()]
 
 
 def spread_join(
     fact: DataFrame,
     dim: DataFrame,
-    fact_key: str,
-    dim_key: str,
+    fact_key: str | Sequence[str],
+    dim_key: str | Sequence[str],
     how: str = "left",
     spread_by: Sequence[str] | None = None,
-    share: int = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
+    hot: list[int] | None = None,
     parts: int = HOT_PARTS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Equi-join of a large table whose key may be skewed.
 
-    Rows of a hot key get a part number from a hash of ``spread_by`` (default: all
-    columns) and meet one copy of the other side's rows for that key per part. Rows with a null key
-    are spread too, they only need a place to go. At most ``share`` keys are copied,
-    so the hot list is safe to broadcast and the copies stay few. A hash, not a random
+    Without hot keys this is a plain join. Rows of a hot key get a part number from a hash
+    of ``spread_by`` (default: all columns) and meet one copy of the other side's rows for
+    that key per part; a frequent null is spread in the same way. A hash, not a random
     number, so a task that runs again sends every row to the same place.
     """
-    hot = F.broadcast(hot_keys(fact, fact_key, share, min_rows))
-    hashed = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or fact.columns)]), F.lit(parts)).cast("int")
-    left = (
-        fact.join(hot, F.col(fact_key) == F.col("_hot"), "left")
-        .withColumn("_part", F.when(F.col("_hot").isNotNull() | F.col(fact_key).isNull(), hashed).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    right = (
-        dim.filter(F.col(dim_key).isNotNull())
-        .withColumnRenamed(dim_key, "_dim_key")
-        .join(hot, F.col("_dim_key") == F.col("_hot"), "left")
-        .withColumn(
-            "_dim_part",
-            F.explode(F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))),
-        )
-        .drop("_hot")
-    )
-    joined = left.join(right, (F.col(fact_key) == F.col("_dim_key")) & (F.col("_part") == F.col("_dim_part")), how)
-    return joined.drop("_part", "_dim_key", "_dim_part")
-
-
-def hash_order(id_col: str, seed: int) -> Column:
+    fact_keys = [fact_key] if isinstance(fact_key, str) else list(fact_key)
+    dim_keys = [dim_key] if isinstance(dim_key, str) else list(dim_key)
+    types = [fact.schema[a].dataType == dim.schema[b].dataType for a, b in zip(fact_keys, dim_keys)]
+    if not all(types):
+        raise TypeError(f"join keys {fact_keys} and {dim_keys} must have the same types")
+    hot = hot_keys(fact, fact_keys) if hot is None else hot
+    right = dim
+    if not null_safe:
+        for k in dim_keys:
+            right = right.filter(F.col(k).isNotNull())
+    right = right.withColumnsRenamed({k: f"_dim_key{i}" for i, k in enumerate(dim_keys)})
+    renamed = [f"_dim_key{i}" for i in range(len(dim_keys))]
+    left, same = fact, []
+    for a, b in zip(fact_keys, renamed):
+        same.append(F.col(f"`{a}`").eqNullSafe(F.col(b)) if null_safe else F.col(f"`{a}`") == F.col(b))
+    if hot:
+        columns = [F.col(f"`{c}`") for c in (spread_by or fact.columns)]
+        part = F.pmod(F.xxhash64(*columns), F.lit(parts)).cast("int")
+        left = fact.withColumn("_part", F.when(key_code(fact_keys).isin(hot), part).otherwise(F.lit(0)))
+        copies = F.when(key_code(renamed).isin(hot), F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0)))
+        right = right.withColumn("_dim_part", F.explode(copies))
+        same.append(F.col("_part") == F.col("_dim_part"))
+    return left.join(right, same, how).drop("_part", "_dim_part", *renamed)
+
+
+def hash_order(id_col: str, seed: int | Column) -> Column:
     """A reproducible random order of ids."""
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    text = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(":"), text))
 
 
 def hash_rank(
-    df: DataFrame, id_col: str, seed: int = 0, by: Sequence[str] = (), out: str = "rank", digits: int = 4
+    df: DataFrame, id_col: str, seed: int | Column = 0, by: Sequence[str] = (), out: str = "rank", digits: int = 4
 ) -> DataFrame:
     """Exact rank 1..n per group in the order of md5(id:seed), without sorting a group in one task.
 
@@ -160,7 +170,7 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
     return best.select(*[F.col(f"`{k}`") if c_is_key else F.col(f"_best.`{k}`") for k, c_is_key in [(c, c in keys) for c in df.columns]])
 
 
-def list_parts(df: DataFrame, by: str, id_col: str, limit: int = LIST_PART) -> DataFrame:
+def list_parts(df: DataFrame, by: str, id_col: str, limit: int = LIST_PART, hot: list[int] | None = None) -> DataFrame:
     """Add ``part``: groups of up to ``limit`` rows are part 0, larger ones are cut by a hash of the id.
 
     Lists are collected per (group, part), so one row never grows without bound and no member is left out.
@@ -173,7 +183,7 @@ def list_parts(df: DataFrame, by: str, id_col: str, limit: int = LIST_PART) -> D
     )
     code = F.conv(F.substring(F.md5(F.col(id_col).cast("string")), 1, 8), 16, 10).cast("long")
     return (
-        spread_join(df, sizes, by, "_by", "left", [id_col])
+        spread_join(df, sizes, by, "_by", "left", [id_col], hot)
         .withColumn("part", F.coalesce(F.pmod(code, F.col("_parts")), F.lit(0)).cast("int"))
         .drop("_parts")
     )

@@ -18,6 +18,7 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") ->
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .getOrCreate()

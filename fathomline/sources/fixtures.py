@@ -139,6 +139,15 @@ class Bank:
     def sanctioned_names(self) -> DataFrame:
         return self.kyc_with_open_sanctions.filter(F.col("OpenSanc_query") == 1).select(F.col("Name").alias("name"))
 
+    @cached_property
+    def suspects(self) -> DataFrame:
+        """Every 50th customer; some are listed twice."""
+        key = F.col("c_custkey")
+        listed = self.table("customer").filter(key % 50 == 0)
+        first = listed.select(customer_code(key).alias("id"), F.when(key % 100 == 0, "seller").otherwise("buyer").alias("Type"))
+        again = listed.filter(key % 200 == 0).select(customer_code(key).alias("id"), F.lit("buyer").alias("Type"))
+        return first.unionByName(again)
+
     @cached_property
     def articles(self) -> DataFrame:
         """English documents as news articles."""
