@@ -58,18 +58,28 @@ def fold_names(names: Column) -> Column:
     return F.aggregate(names, F.array().cast("array<string>"), absorb)
 
 
-def first_containing(names: Column, answers: Column) -> Column:
-    """First name that contains an answer, cut after the first such answer; null if none does.
+def name_with_answer(names: Column, answers: Column) -> Column:
+    """First name that contains one of the answers."""
+    return F.try_element_at(F.filter(names, lambda n: (n != "") & F.exists(answers, lambda a: n.contains(a))), F.lit(1))
+
+
+def answer_in_name(name: Column, answers: Column) -> Column:
+    """First answer the name contains."""
+    return F.try_element_at(F.filter(answers, lambda a: name.contains(a)), F.lit(1))
+
 
-    An empty answer is found at once and leaves the first character.
-    """
-    matching = F.filter(names, lambda n: (n != "") & F.exists(answers, lambda a: n.contains(a)))
-    name = F.try_element_at(matching, F.lit(1))
-    answer = F.try_element_at(F.filter(answers, lambda a: name.contains(a)), F.lit(1))
+def cut_after(name: Column, answer: Column) -> Column:
+    """The name up to the end of the answer; an empty answer leaves the first character."""
     end = F.call_function("instr", name, answer) + F.greatest(F.length(answer), F.lit(1)) - 1
     return F.substring(name, F.lit(1), end)
 
 
+def first_containing(names: Column, answers: Column) -> Column:
+    """First name that contains an answer, cut after the first such answer; null if none does."""
+    name = name_with_answer(names, answers)
+    return cut_after(name, answer_in_name(name, answers))
+
+
 def person_mentions(text: Column, pattern: str = PERSON) -> Column:
     """Runs of capitalised words, in order."""
     return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))

@@ -74,8 +74,8 @@ def _community_ends(edges: DataFrame, communities: DataFrame) -> DataFrame:
     return spread_join(spread_join(edges, a, "a", "_a", "inner", ["b"], hot), b, "b", "_b", "inner", ["a"], hot)
 
 
-def _local_moves(edges: DataFrame, own: DataFrame, rounds: int) -> DataFrame:
-    """Move nodes to the neighbouring community with the best gain until no one moves.
+def _local_moves(edges: DataFrame, rounds: int, settled: float = 0.01) -> DataFrame:
+    """Move nodes to the neighbouring community with the best gain until few still want to.
 
     Nodes decide at the same time, so in each round only half of them (by a hash of node
     and round) may move: two neighbours then do not keep swapping places.
@@ -113,20 +113,21 @@ def _local_moves(edges: DataFrame, own: DataFrame, rounds: int) -> DataFrame:
         state = cut_lineage(
             step_state.select("node", "k", F.when(moves, F.col("best.to")).otherwise(F.col("community")).alias("community"), wants.alias("wants"))
         )
-        if state.filter("wants").isEmpty():
-            break
+        restless = state.agg(F.avg(F.col("wants").cast("double")).alias("share")).first()["share"] or 0.0
         state = state.drop("wants")
+        if restless <= settled:
+            break
     return state.select("node", "community")
 
 
-def louvain(edges: DataFrame, rounds: int = 12, levels: int = 4, min_gain: float = 1e-4) -> DataFrame:
+def louvain(edges: DataFrame, rounds: int = 8, levels: int = 4, min_gain: float = 1e-4) -> DataFrame:
     """Modularity communities of a weighted undirected graph (a, b, w): local moves, then contraction."""
     level = cut_lineage(edges.filter(F.col("w") > 0).select("a", "b", F.col("w").cast("double").alias("w")))
     graph = level
     members = cut_lineage(_nodes(graph, "a", "b")).withColumn("community", F.col("node"))
     best = _score(graph, members)
     for _ in range(levels):
-        moved = _local_moves(level, members, rounds)
+        moved = _local_moves(level, rounds)
         step = moved.select(F.col("node").alias("_old"), F.col("community").alias("_new"))
         joined = spread_join(members, step, "community", "_old", "inner", ["node"])
         candidate = cut_lineage(joined.select("node", F.col("_new").alias("community")))
@@ -208,8 +209,9 @@ def community_risk(members: DataFrame, risk: str = "Risk", limit: int = 10_000)
     the mean and size of the whole, so that no member is left out and no row is unbounded.
     """
     means = community_means(members, risk).select(F.col("community").alias("_c"), "Average_Risk", "Num_Members")
-    inside = spread_join(members, means, "community", "_c", "inner", ["customer_id", "name"])
-    keyed = list_parts(inside.withColumn("_id", F.concat_ws("|", "customer_id", "name")), "community", "_id", limit)
+    large = hot_keys(members, "community")
+    inside = spread_join(members, means, "community", "_c", "inner", ["customer_id", "name"], large)
+    keyed = list_parts(inside.withColumn("_id", F.concat_ws("|", "customer_id", "name")), "community", "_id", limit, large)
     entry = F.sort_array(F.collect_list(F.struct("name", "customer_id")))
     lists = keyed.groupBy("community", "part", "Average_Risk", "Num_Members").agg(entry.alias("_m"))
     return lists.select(
@@ -227,6 +229,14 @@ def combined_risk(members: DataFrame) -> DataFrame:
     return members.withColumn("Combined_Result", F.greatest("Risk", "OS_Results"))
 
 
+def risky_members(members: DataFrame) -> DataFrame:
+    """Members with a risk or sanctions flag, with the combined mean risk of their community."""
+    means = community_means(members, "Combined_Result").select(F.col("community").alias("_c"), "Average_Risk")
+    flagged = members.filter((F.col("Risk") == 1) | (F.col("OS_Results") == 1))
+    joined = spread_join(flagged, means, "community", "_c", "inner", ["customer_id", "name"])
+    return joined.select("customer_id", "name", "community", "Average_Risk")
+
+
 def subgraph(edges: DataFrame, communities: DataFrame, community: str, names: DataFrame) -> DataFrame:
     """Edges with either end in one community, with a name for both ends where one is known."""
     chosen = communities.filter(F.col("community") == F.lit(community)).select(F.col("node").alias("_in"))

@@ -67,7 +67,7 @@ def network_score(df: DataFrame, weights: DataFrame) -> DataFrame:
 
 
 def name_members(communities: DataFrame, names: DataFrame) -> DataFrame:
-    """Members of communities with every name they are known by."""
+    """Members of communities with every name they are known by. (id, name) pairs are distinct."""
     return spread_join(
         names.select(F.col("customer_id").alias("_customer"), "name"), communities, "_customer", "node", "inner", ["name"]
     ).select(F.col("_customer").alias("customer_id"), "name", "community")

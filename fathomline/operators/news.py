@@ -11,14 +11,16 @@ from pyspark.sql import functions as F
 from fathomline.functions.scalar import has_article_number, is_article
 from fathomline.functions.text import (
     PERSON,
-    first_containing,
+    answer_in_name,
+    cut_after,
     fold_names,
     headline,
+    name_with_answer,
+    norm_name,
     paragraphs,
     person_mentions,
     split_and,
 )
-from fathomline.operators.matching import common_names
 from fathomline.operators.skew import first_per_key
 from fathomline.sources.lookups import TITLE_RULES
 
@@ -71,9 +73,12 @@ def record_counts(parsed: DataFrame) -> DataFrame:
 def similar_to(df: DataFrame, anchor: Column, threshold: float = 0.25, column: str = "embedding") -> DataFrame:
     """Rows whose inner product with the anchor vector reaches the threshold, best first."""
     product = F.aggregate(
-        F.zip_with(F.col(column), anchor, lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, x: s + x
+        F.zip_with(F.col(column), F.col("_anchor"), lambda a, b: a.cast("double") * b.cast("double")),
+        F.lit(0.0),
+        lambda s, x: s + x,
     )
-    return df.withColumn("Score", product).filter(F.col("Score") >= threshold).orderBy(F.desc("Score"))
+    scored = df.withColumn("_anchor", anchor).withColumn("Score", product).drop("_anchor")
+    return scored.filter(F.col("Score") >= threshold).orderBy(F.desc("Score"))
 
 
 def mentions(articles: DataFrame, text: str = "Text", person: str = PERSON) -> DataFrame:
@@ -99,11 +104,11 @@ def answers(
     The rule takes the person named next after a trigger word; no answer gives an empty list.
     """
 
-    def listed(words: Sequence[str]) -> Column:
-        found = after_trigger(F.col(text), words, person)
-        return F.filter(split_and(found), lambda a: a != "")
-
-    return articles.withColumns({"Q1_Name": listed(criminal), "Q2_Name": listed(suspect)})
+    said = articles.withColumns(
+        {f"_q{q}": after_trigger(F.col(text), words, person) for q, words in ((1, criminal), (2, suspect))}
+    )
+    split = {f"Q{q}_Name": F.filter(split_and(F.col(f"_q{q}")), lambda a: a != "") for q in (1, 2)}
+    return said.withColumns(split).drop("_q1", "_q2")
 
 
 def scored_answers(
@@ -122,9 +127,12 @@ def scored_answers(
 
 def match_answers(articles: DataFrame) -> DataFrame:
     """The named person an answer points to: by the first answers, else the second; unmatched articles are dropped."""
-    q1 = first_containing(F.col("All_Names"), F.col("Q1_Name"))
-    q2 = first_containing(F.col("All_Names"), F.col("Q2_Name"))
-    return articles.withColumn("Criminal", F.coalesce(q1, q2)).filter(F.col("Criminal").isNotNull())
+    names = F.col("All_Names")
+    staged = articles.withColumns({f"_n{q}": name_with_answer(names, F.col(f"Q{q}_Name")) for q in (1, 2)})
+    staged = staged.withColumns({f"_a{q}": answer_in_name(F.col(f"_n{q}"), F.col(f"Q{q}_Name")) for q in (1, 2)})
+    cut = F.coalesce(*[cut_after(F.col(f"_n{q}"), F.col(f"_a{q}")) for q in (1, 2)])
+    found = staged.withColumn("Criminal", cut).drop("_n1", "_n2", "_a1", "_a2")
+    return found.filter(F.col("Criminal").isNotNull())
 
 
 def offenders(matched: DataFrame, order: Sequence[Column]) -> DataFrame:
@@ -137,8 +145,8 @@ def offenders(matched: DataFrame, order: Sequence[Column]) -> DataFrame:
 def found_offenders(table: DataFrame, names: DataFrame) -> DataFrame:
     """Offenders that are customers, in upper case, one row per name."""
     upper = table.withColumn("Criminal", F.upper("Criminal"))
-    known = common_names(table.select(F.col("Criminal").alias("name")), names)
-    hits = upper.join(known, F.col("Criminal") == F.col("name"), "left_semi")
+    known = names.select(norm_name(F.col("name")).alias("_known")).distinct()
+    hits = upper.join(known, F.col("Criminal") == F.col("_known"), "left_semi")
     return first_per_key(hits, ["Criminal"], [F.col("Links"), F.col("Titles")])
 
 

@@ -1,0 +1,247 @@
+"""Queries on the transaction graph: hops, communities and their risk."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from fathomline.operators import explore, filters, flow, graph, joins, matching
+from fathomline.plans.bank import FLAGGED_SQL, feature_view, network_of
+from fathomline.plans.registry import query
+from fathomline.session import cut_lineage
+from fathomline.sources.fixtures import Bank
+
+ROUNDS = 3
+
+TWO_HOP_SQL = """
+select id_sender, id_receiver, name_sender, name_receiver, total_amount,
+  case when hop = 1 then 1 else 0 end as label_first_upward, case when hop = 2 then 1 else 0 end as label_second_upward,
+  case when hop = 3 then 1 else 0 end as label_first_downward, case when hop = 4 then 1 else 0 end as label_second_downward
+from (
+  select *, case
+    when id_receiver in (select id from seeds) then 1
+    when id_receiver in (select id_sender from network where id_receiver in (select id from seeds) and id_sender not in (select id from seeds)) then 2
+    when id_sender in (select id from seeds) then 3
+    when id_sender in (select id_receiver from network where id_sender in (select id from seeds) and id_receiver not in (select id from seeds)) then 4
+    end as hop
+  from (select id_sender, id_receiver, name_sender, name_receiver, sum(value) as total_amount from network
+    where name_sender is not null and name_receiver is not null group by all)) where hop is not null"""
+
+
+def _one_round(before: str) -> str:
+    return f"""
+select node, community from (
+  select n.src as node, l.community, row_number() over (partition by n.src order by count(*) desc, l.community) as rn
+  from pairs n join {before} l on l.node = n.dst group by n.src, l.community) where rn = 1
+union all select node, community from {before} where node not in (select src from pairs)"""
+
+
+LPA_VIEWS = (
+    ("pairs", "select distinct Source as src, Target as dst from edges"),
+    ("round0", "select distinct node, node as community from (select src as node from pairs union select dst from pairs)"),
+    ("round1", _one_round("round0")),
+    ("round2", _one_round("round1")),
+    ("round3", _one_round("round2")),
+    ("upairs", "select distinct least(src, dst) as a, greatest(src, dst) as b from pairs where src <> dst"),
+    (
+        "members",
+        "select r.community, n.customer_id, n.name from round3 r join all_names n on n.customer_id = r.node",
+    ),
+    ("flagged", FLAGGED_SQL),
+    ("rated", "select m.community, f.*, greatest(f.Risk, f.OS_Results) as Combined_Result from members m join flagged f using (customer_id, name)"),
+)
+
+
+def weighted_edges(b: Bank) -> DataFrame:
+    return network_of(b).select(F.col("id_sender").alias("Source"), F.col("id_receiver").alias("Target"), F.col("value").alias("Weight"))
+
+
+def communities(b: Bank) -> DataFrame:
+    return graph.label_propagation(graph.digraph(weighted_edges(b)), ROUNDS)
+
+
+def members(b: Bank) -> DataFrame:
+    """Named members of the communities with their risk and sanctions flags."""
+    named = cut_lineage(joins.name_members(communities(b), matching.all_names(b.kyc, b.emt, b.wire)))
+    flagged = matching.sanctions(graph.flag_members(named, b.risk_ids), b.sanctioned_names)
+    return cut_lineage(graph.combined_risk(flagged))
+
+
+@query("edge_aggregate", "select * from edges", total_transaction_amount=2)
+def _(b: Bank) -> DataFrame:
+    return flow.edges(network_of(b))
+
+
+@query(
+    "hop_aggregate",
+    "select id_sender, id_receiver, name_sender, name_receiver, sum(value) as total_amount from network group by all",
+    total_amount=2,
+)
+def _(b: Bank) -> DataFrame:
+    return flow.hop_sum(flow.combined(b.wire, b.emt))
+
+
+@query("two_hop_flow", TWO_HOP_SQL, total_amount=2)
+def _(b: Bank) -> DataFrame:
+    return flow.two_hop(flow.combined(b.wire, b.emt), b.seeds)
+
+
+@query("directed_graph", "select Source as src, Target as dst, total_transaction_amount as w from edges", w=2)
+def _(b: Bank) -> DataFrame:
+    return graph.digraph(weighted_edges(b))
+
+
+@query(
+    "undirected_graph",
+    "select least(Source, Target) as a, greatest(Source, Target) as b, sum(total_transaction_amount) as w from edges group by 1, 2",
+    w=2,
+)
+def _(b: Bank) -> DataFrame:
+    return graph.ugraph(weighted_edges(b))
+
+
+@query("label_propagation", "select * from round3", LPA_VIEWS)
+def _(b: Bank) -> DataFrame:
+    return communities(b)
+
+
+@query("louvain_communities")
+def _(b: Bank) -> DataFrame:
+    return graph.louvain(graph.ugraph(weighted_edges(b)))
+
+
+STATS_SQL = """
+select s.community, s.n, coalesce(i.m, 0) as m, coalesce(c.cut, 0) as cut,
+  case when s.n > 1 then 2.0 * coalesce(i.m, 0) / (s.n * (s.n - 1)) else 0 end as density,
+  case when t.d - coalesce(d.d, 0) > 0 then coalesce(d.d, 0) * 1.0 / (t.d - coalesce(d.d, 0)) else 0 end as expansion,
+  case when t.d - coalesce(d.d, 0) > 0 then coalesce(c.cut, 0) * 1.0 / (2 * (t.d - coalesce(d.d, 0)) + coalesce(c.cut, 0)) else 0 end as conductance
+from (select community, count(*) as n from round3 group by 1) s
+left join (select x.community, count(*) as m from upairs u join round3 x on x.node = u.a join round3 y on y.node = u.b
+  where x.community = y.community group by 1) i on i.community = s.community
+left join (select r.community, count(*) as d from (select a as node from upairs union all select b from upairs) e join round3 r on r.node = e.node group by 1) d
+  on d.community = s.community
+left join (select community, count(*) as cut from (
+    select x.community as community from upairs u join round3 x on x.node = u.a join round3 y on y.node = u.b where x.community <> y.community
+    union all select y.community from upairs u join round3 x on x.node = u.a join round3 y on y.node = u.b where x.community <> y.community)
+  group by 1) c on c.community = s.community, (select 2 * count(*) as d from upairs) t"""
+
+
+def measured(b: Bank) -> DataFrame:
+    return graph.community_stats(graph.ugraph(weighted_edges(b)), communities(b))
+
+
+for _name, _columns in {
+    "community_density": ("community", "n", "m", "density"),
+    "community_expansion": ("community", "expansion"),
+    "community_conductance": ("community", "cut", "conductance"),
+}.items():
+
+    def _one(b: Bank, columns=_columns) -> DataFrame:
+        return measured(b).select(*columns)
+
+    _ratio = _columns[-1]
+    query(_name, f"select {', '.join(_columns)} from ({STATS_SQL})", LPA_VIEWS, **{_ratio: 8})(_one)
+
+
+@query(
+    "community_quality_means",
+    f"select count(*) as communities, avg(density) as density, avg(expansion) as expansion, avg(conductance) as conductance from ({STATS_SQL})",
+    LPA_VIEWS,
+    density=8,
+    expansion=8,
+    conductance=8,
+)
+def _(b: Bank) -> DataFrame:
+    return graph.quality(measured(b))
+
+
+def _risk_sql(flag: str) -> str:
+    return f"""select community, 0 as part, avg({flag}) as Average_Risk, array_to_string(list(name order by name, customer_id), ', ') as Members,
+      array_to_string(list(customer_id order by name, customer_id), ', ') as IDs, count(name) as Num_Members from rated group by 1 having avg({flag}) <> 0"""
+
+
+@query("community_risk", _risk_sql("Risk"), LPA_VIEWS, Average_Risk=8)
+def _(b: Bank) -> DataFrame:
+    return graph.community_risk(members(b))
+
+
+@query("combined_risk", _risk_sql("Combined_Result"), LPA_VIEWS, Average_Risk=8)
+def _(b: Bank) -> DataFrame:
+    return graph.community_risk(members(b), "Combined_Result")
+
+
+@query(
+    "nonzero_communities",
+    "select community, avg(Risk) as Average_Risk, count(name) as Num_Members from rated group by 1 having avg(Risk) <> 0",
+    LPA_VIEWS,
+    Average_Risk=8,
+)
+def _(b: Bank) -> DataFrame:
+    return filters.risky(graph.community_means(members(b)))
+
+
+@query("community_names_join", "select * from members", LPA_VIEWS)
+def _(b: Bank) -> DataFrame:
+    return joins.name_members(communities(b), matching.all_names(b.kyc, b.emt, b.wire))
+
+
+@query(
+    "risky_members",
+    """select r.customer_id, r.name, r.community, a.Average_Risk from rated r join (
+      select community, avg(Combined_Result) as Average_Risk from rated group by 1 having avg(Combined_Result) <> 0) a using (community)
+    where r.Risk = 1 or r.OS_Results = 1""",
+    LPA_VIEWS,
+    Average_Risk=8,
+)
+def _(b: Bank) -> DataFrame:
+    return graph.risky_members(members(b))
+
+
+# The largest community of the check data; any node id would do.
+LARGEST_SQL = "(select community from round3 group by 1 order by count(*) desc, community limit 1)"
+
+
+def largest(found: DataFrame) -> str:
+    return explore.majority(found, "community").first()["community"]
+
+
+@query(
+    "community_subgraph",
+    f"""select e.Source as src, e.Target as dst, e.total_transaction_amount as w, coalesce(s.name, e.Source) as src_label, coalesce(t.name, e.Target) as dst_label
+    from edges e left join (select customer_id, min(name) as name from all_names group by 1) s on s.customer_id = e.Source
+    left join (select customer_id, min(name) as name from all_names group by 1) t on t.customer_id = e.Target
+    where e.Source in (select node from round3 where community = {LARGEST_SQL}) or e.Target in (select node from round3 where community = {LARGEST_SQL})""",
+    LPA_VIEWS,
+    w=2,
+)
+def _(b: Bank) -> DataFrame:
+    found = communities(b)
+    names = matching.all_names(b.kyc, b.emt, b.wire)
+    return graph.subgraph(graph.digraph(weighted_edges(b)), found, largest(found), names)
+
+
+REPORT_DROP = ["name", "community", "cust_id_x", "cust_id_y", "Gender_y", "Age_y", "Tenure_y", "label_y", "Occupation_y", "Name_y"]
+
+
+@query(
+    "community_report",
+    f"""select r.customer_id, r.Risk, r.OS_Results, r.Combined_Result, k.Name as Name_x, k.Gender as Gender_x, k.Occupation as Occupation_x, k.Age as Age_x,
+      k.Tenure as Tenure_x, k.label as label_x, f.* exclude (Name, Gender, Occupation, Age, Tenure, cust_id, label)
+    from rated r left join kyc k on k.cust_id = r.customer_id left join features f on f.cust_id = r.customer_id where r.community = {LARGEST_SQL}""",
+    LPA_VIEWS,
+    wire_total_amnt_sent=2,
+    wire_total_amnt_received=2,
+    emt_total_amnt_sent=2,
+    emt_total_amnt_received=2,
+    total_cash_deposit=2,
+    total_cash_withdraw=2,
+    wire_trxn_balance=2,
+    emt_trxn_balance=2,
+    cash_balance=2,
+)
+def _(b: Bank) -> DataFrame:
+    rated = members(b).withColumnRenamed("name", "member_name")
+    found = rated.select("customer_id", "community").distinct()
+    chosen = explore.majority(found, "community").first()["community"]
+    report = graph.report(rated, chosen, b.kyc, feature_view(b), ["member_name", *REPORT_DROP[1:]])
+    return report

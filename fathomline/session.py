@@ -49,10 +49,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write the rows to the shared folder and go on from there.
 
-    Unlike a local checkpoint the copy outlives the executor that wrote it.
+    A written table outlives the executor that computed it, is computed once, and starts
+    the next plan with nothing but its own size: plans of an iteration stay equally small.
     """
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "step")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
