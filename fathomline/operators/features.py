@@ -108,27 +108,26 @@ def _is(channel: str, direction: str) -> Column:
     return (F.col("channel") == channel) & (F.col("direction") == direction)
 
 
-def _basic_aggregates() -> list[Column]:
-    def part(channel: str, direction: str, count: str, total: str, abroad: str | None = None) -> list[Column]:
-        here = _is(channel, direction)
-        columns = [
-            _count_if(here & F.col("trxn_id").isNotNull()).alias(count),
-            _sum_if(here, "amount").alias(total),
-        ]
-        if abroad:
-            columns.append(_count_if(here & F.col("international")).alias(abroad))
-        return columns
+# Per channel and direction: columns for the number, the amount and, for wires, the number that cross a border.
+BASIC_NAMES = {
+    ("wire", "sent"): ("no_wire_trxns_sent", "wire_total_amnt_sent", "no_international_wire_trxns_sent"),
+    ("wire", "received"): ("no_wire_trxns_received", "wire_total_amnt_received", "no_international_wire_trxns_received"),
+    ("emt", "sent"): ("no_emt_trxns_sent", "emt_total_amnt_sent"),
+    ("emt", "received"): ("no_emt_trxns_received", "emt_total_amnt_received"),
+    ("cash", "received"): ("no_cash_deposits", "total_cash_deposit"),
+    ("cash", "sent"): ("no_cash_withdraws", "total_cash_withdraw"),
+}
 
-    return [
-        *part("wire", "sent", "no_wire_trxns_sent", "wire_total_amnt_sent", "no_international_wire_trxns_sent"),
-        *part(
-            "wire", "received", "no_wire_trxns_received", "wire_total_amnt_received", "no_international_wire_trxns_received"
-        ),
-        *part("emt", "sent", "no_emt_trxns_sent", "emt_total_amnt_sent"),
-        *part("emt", "received", "no_emt_trxns_received", "emt_total_amnt_received"),
-        *part("cash", "received", "no_cash_deposits", "total_cash_deposit"),
-        *part("cash", "sent", "no_cash_withdraws", "total_cash_withdraw"),
-    ]
+
+def _basic_aggregates(channel: str) -> list[Column]:
+    columns = []
+    for (ch, direction), names in BASIC_NAMES.items():
+        if ch == channel:
+            here = F.col("direction") == direction
+            columns.append(_count_if(here & F.col("trxn_id").isNotNull()).alias(names[0]))
+            columns.append(_sum_if(here, "amount").alias(names[1]))
+            columns += [_count_if(here & F.col("international")).alias(n) for n in names[2:]]
+    return columns
 
 
 BASIC = (
@@ -238,12 +237,13 @@ TOTALS = (
 def kyc_features(kyc: DataFrame, wire: DataFrame, emt: DataFrame, cash: DataFrame, totals: bool = True) -> DataFrame:
     """The customer feature view: one row per customer, zero where there is no transaction.
 
-    The three tables become legs of one shape and are aggregated by customer once, so
-    there is a single shuffle of partial sums and a single join with the customers.
+    Each table is read once, both directions together, and shuffled as partial sums of
+    its own columns only. All four sides are then partitioned by customer, so the joins move nothing more.
     """
-    legs = wire_legs(wire).unionByName(emt_legs(emt)).unionByName(cash_legs(cash))
-    sums = legs.groupBy("cust_id").agg(*_basic_aggregates())
-    joined = add_totals(zero_fill(kyc.join(sums, "cust_id", "left"), BASIC))
+    joined = kyc
+    for channel, legs in (("wire", wire_legs(wire)), ("emt", emt_legs(emt)), ("cash", cash_legs(cash))):
+        joined = joined.join(legs.groupBy("cust_id").agg(*_basic_aggregates(channel)), "cust_id", "left")
+    joined = add_totals(zero_fill(joined, BASIC))
     return joined.select(
         "Name", "Gender", "Occupation", "Age", "Tenure", "cust_id", *BASIC, *(TOTALS if totals else ()), "label"
     )
@@ -356,20 +356,20 @@ def packed_lists(lists: DataFrame, limit: int = 10_000) -> DataFrame:
     )
 
 
-def _other_side(kyc: DataFrame, legs: DataFrame, lookup: Mapping[str, Sequence[str]]) -> DataFrame:
+def _other_side(kyc: DataFrame, legs: DataFrame, lookup: Mapping[str, Sequence[str]], hot: list[int]) -> DataFrame:
     """Legs with 0/1 marks for the category of the counterparty's occupation."""
     marks = own_occupation_flags(kyc, lookup)
     wanted = F.lit(False)
     for c in OCCUPATION_CATEGORIES:
         wanted = wanted | (F.col(f"{c}_occupation") == 1)
     flagged = marks.filter(wanted).select(F.col("cust_id").alias("_id"), *[F.col(f"{c}_occupation").alias(f"_is_{c}") for c in OCCUPATION_CATEGORIES])
-    return spread_join(legs, flagged, "other_id", "_id", "left", ["cust_id", "trxn_id", "direction"])
+    return spread_join(legs, flagged, "other_id", "_id", "left", ["cust_id", "trxn_id", "direction"], hot)
 
 
-def _category_aggregates() -> list[Column]:
+def _category_aggregates(*channels: str) -> list[Column]:
     return [
         _count_if(_is(ch, d) & (F.col(f"_is_{c}") == 1)).alias(f"no_{ch}_{c}_occupation_{d}")
-        for ch in ("wire", "emt")
+        for ch in channels
         for c in OCCUPATION_CATEGORIES
         for d in ("sent", "received")
     ]
@@ -383,10 +383,10 @@ def _jurisdiction_aggregates() -> list[Column]:
     ]
 
 
-def _external_aggregates() -> list[Column]:
+def _external_aggregates(*channels: str) -> list[Column]:
     return [
         _count_if(_is(ch, d) & is_external(F.col("other_id"))).alias(f"no_external_{ch}_trxn_{d}")
-        for ch in ("wire", "emt")
+        for ch in channels
         for d in ("received", "sent")
     ]
 
@@ -411,8 +411,12 @@ def _per_customer(kyc: DataFrame, legs: DataFrame, aggregates: list[Column]) ->
 
 def category_counts(kyc: DataFrame, wire: DataFrame, emt: DataFrame, lookup: Mapping[str, Sequence[str]]) -> DataFrame:
     """Transactions per channel and direction whose counterparty works in a category."""
-    legs = _other_side(kyc, wire_legs(wire).unionByName(emt_legs(emt)), lookup)
-    return _per_customer(kyc, legs, _category_aggregates())
+    counts = kyc.select("cust_id")
+    for channel, tx, legs in (("wire", wire, wire_legs(wire)), ("emt", emt, emt_legs(emt))):
+        marked = _other_side(kyc, legs, lookup, hot_keys(tx, "id_sender", "id_receiver"))
+        sums = marked.groupBy("cust_id").agg(*_category_aggregates(channel))
+        counts = zero_fill(counts.join(sums, "cust_id", "left"), [c for c in sums.columns if c != "cust_id"])
+    return counts
 
 
 def jurisdiction_counts(kyc: DataFrame, wire: DataFrame) -> DataFrame:
@@ -422,7 +426,7 @@ def jurisdiction_counts(kyc: DataFrame, wire: DataFrame) -> DataFrame:
 
 def external_counts(kyc: DataFrame, wire: DataFrame, emt: DataFrame) -> DataFrame:
     """Transactions with external parties per channel and direction."""
-    return _per_customer(kyc, wire_legs(wire).unionByName(emt_legs(emt)), _external_aggregates())
+    return _per_customer(kyc, wire_legs(wire).unionByName(emt_legs(emt)), _external_aggregates("wire", "emt"))
 
 
 def message_counts(kyc: DataFrame, emt: DataFrame, words: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -451,19 +455,21 @@ def customer_profile(
 ) -> DataFrame:
     """The wide feature table: feature view, own flags, averages, external, category, jurisdiction and message counts.
 
-    One pass over the legs and one aggregation per customer; the lists behind the counts
-    are in ``counterparty_lists``.
+    Each channel is aggregated per customer once; the lists behind the counts are in
+    ``counterparty_lists``.
     """
-    transfers = wire_legs(wire).unionByName(emt_legs(emt)).withColumns(_message_marks(words))
-    marked = _other_side(kyc, transfers, occupations)
-    legs = marked.unionByName(cash_legs(cash), allowMissingColumns=True)
-    counts = legs.groupBy("cust_id").agg(
-        *_basic_aggregates(),
-        *_external_aggregates(),
-        *_category_aggregates(),
-        *_jurisdiction_aggregates(),
-        *_message_aggregates(),
-    )
-    base = own_occupation_flags(kyc, occupations).join(counts, "cust_id", "left")
-    filled = averages(add_totals(zero_fill(base, [c for c in counts.columns if c != "cust_id"])))
+    wires = _other_side(kyc, wire_legs(wire), occupations, hot_keys(wire, "id_sender", "id_receiver"))
+    said = emt_legs(emt).withColumns(_message_marks(words))
+    mails = _other_side(kyc, said, occupations, hot_keys(emt, "id_sender", "id_receiver"))
+    extra = {
+        "wire": [*_external_aggregates("wire"), *_category_aggregates("wire"), *_jurisdiction_aggregates()],
+        "emt": [*_external_aggregates("emt"), *_category_aggregates("emt"), *_message_aggregates()],
+        "cash": [],
+    }
+    base, counted = own_occupation_flags(kyc, occupations), []
+    for channel, legs in (("wire", wires), ("emt", mails), ("cash", cash_legs(cash))):
+        sums = legs.groupBy("cust_id").agg(*_basic_aggregates(channel), *extra[channel])
+        base = base.join(sums, "cust_id", "left")
+        counted += [c for c in sums.columns if c != "cust_id"]
+    filled = averages(add_totals(zero_fill(base, counted)))
     return filled.drop("Name", "Occupation").withColumns({"Age": F.coalesce(F.col("Age"), F.lit(0))})

@@ -89,9 +89,11 @@ def knn(points: DataFrame, k: int, cell: int = CELL, pivots: int = PIVOTS, queri
             yield pd.DataFrame(rows, columns=["id", "v", "block", "sub"])
 
     asked = cut_lineage(first.mapInPandas(visits, "id string, v array<double>, block int, sub int"))
-    load = asked.groupBy("block", "sub").agg(F.ceil(F.count(F.lit(1)) / F.lit(queries)).cast("int").alias("chunks"))
-    asking = asked.join(load, ["block", "sub"]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int"))
-    holding = placed.select("id", "v", "block", "sub").join(load, ["block", "sub"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    # Written, so that both sides below read it as a table of its own.
+    load = cut_lineage(asked.groupBy("block", "sub").agg(F.ceil(F.count(F.lit(1)) / F.lit(queries)).cast("int").alias("chunks")))
+    spread = load.select(F.col("block"), F.col("sub"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    asking = asked.join(load, ["block", "sub"]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int")).drop("chunks")
+    holding = placed.select("id", "v", "block", "sub").join(spread, ["block", "sub"])
 
     def across(ask: pd.DataFrame, hold: pd.DataFrame) -> pd.DataFrame:
         v, ids = _matrix(hold["v"]), hold["id"].to_numpy(str)

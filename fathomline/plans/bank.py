@@ -11,7 +11,7 @@ from fathomline.functions import scalar, text
 from fathomline.operators import clusters, encode, evaluate, explore, features, filters, flow, graph, joins, matching, quality, risk, stats
 from fathomline.plans.oracle_views import BASIC, n
 from fathomline.plans.registry import query
-from fathomline.session import scratch_path
+from fathomline.session import cut_lineage, scratch_path
 from fathomline.sources import lookups, schemas, tables
 from fathomline.sources.fixtures import FUZZY_CHOICES, OCCUPATIONS, WORDS, Bank
 
@@ -783,12 +783,13 @@ def _(b: Bank) -> DataFrame:
 
 @query(
     "flatten_messages",
-    """select conv_id, array_to_string(list_filter(flatten(list(regexp_split_to_array(lower(text), '\\s+') order by turn)), lambda x: x <> ''), ' ') as words
-    from conversations group by 1""",
+    """select conv_id, turn // 10000 as part, array_to_string(list_filter(flatten(list(regexp_split_to_array(lower(text), '\\s+') order by turn)), lambda x: x <> ''), ' ') as words
+    from conversations group by 1, 2""",
 )
 def _(b: Bank) -> DataFrame:
     lists = F.transform(F.array_sort(F.collect_list(F.struct("turn", text.tokens_plain(F.col("text")).alias("w")))), lambda x: x["w"])
-    return b.table("conversations").groupBy("conv_id").agg(F.array_join(text.flatten_tokens(lists), " ").alias("words"))
+    # Ten thousand turns a row: a conversation of any length stays whole without a row of any length.
+    return b.table("conversations").groupBy("conv_id", F.expr("turn div 10000").alias("part")).agg(F.array_join(text.flatten_tokens(lists), " ").alias("words"))
 
 
 @query(
@@ -1082,5 +1083,5 @@ def _(b: Bank) -> DataFrame:
     result=6,
 )
 def _(b: Bank) -> DataFrame:
-    table = signals(b)
+    table = cut_lineage(signals(b))
     return risk.risk_score(table, risk.risk_weights(table))

@@ -112,18 +112,25 @@ def _(b: Bank) -> DataFrame:
 
 
 def records(b: Bank) -> DataFrame:
-    """Benchmark texts and documents as dict literals; a quote in the text breaks the record, as in scraped data."""
+    """Documents as dict literals; a quote in the text breaks the record, as in scraped data."""
     literal = F.concat(F.lit("{'Title': '"), F.col("source"), F.lit("', 'Text': '"), F.col("text"), F.lit("'}"))
     flat = F.regexp_replace(literal, "[\\r\\n\\t\\\\]", " ")
     return b.table("documents").select("doc_id", flat.alias("Extracted Data"))
 
 
-@query("literal_record_parse")
+FLAT_SQL = r"regexp_replace(text, '[\r\n\t\\]', ' ', 'g')"
+QUOTED_SQL = "contains(text, chr(39))"
+
+
+@query("literal_record_parse", f"select doc_id, source as Title, {FLAT_SQL} as Text from documents where not {QUOTED_SQL}")
 def _(b: Bank) -> DataFrame:
-    return news.parse_records(records(b)).select("doc_id", "Title", "Text")
+    return news.good_records(news.parse_records(records(b))).select("doc_id", "Title", "Text")
 
 
-@query("literal_record_counts")
+@query(
+    "literal_record_counts",
+    f"select count(*) as total, count(*) filter (where not {QUOTED_SQL}) as successful, count(*) filter (where {QUOTED_SQL}) as failed from documents",
+)
 def _(b: Bank) -> DataFrame:
     return news.record_counts(news.parse_records(records(b)))
 
