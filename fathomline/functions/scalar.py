@@ -19,9 +19,12 @@ def total_amount(emt: Column, wire: Column) -> Column:
     return F.coalesce(emt, F.lit(0.0)) + F.coalesce(wire, F.lit(0.0))
 
 
+EXTERNAL_PREFIX = "E"
+
+
 def is_external(party: Column) -> Column:
     """External parties have ids that begin with E."""
-    return F.coalesce(party.startswith("E"), F.lit(False))
+    return F.coalesce(party.startswith(EXTERNAL_PREFIX), F.lit(False))
 
 
 def is_article(link: Column) -> Column:

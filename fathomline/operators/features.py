@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.functions.scalar import is_external, ratio
+from fathomline.functions.scalar import EXTERNAL_PREFIX, ratio
 from fathomline.functions.text import count_words, tokens_plain
 from fathomline.operators.skew import hot_keys, list_parts, spread_join
 from fathomline.sources.lookups import (
@@ -22,12 +22,18 @@ from fathomline.sources.lookups import (
 COUNTS = "long"
 
 
-def _count_if(cond: Column) -> Column:
-    return F.coalesce(F.sum(cond.cast(COUNTS)), F.lit(0).cast(COUNTS))
+# The many conditional aggregates are SQL text: one call per column instead of dozens.
+def _count_if(cond: str, name: str) -> Column:
+    return F.expr(f"count_if({cond}) as {name}")
 
 
-def _sum_if(cond: Column, value: str) -> Column:
-    return F.coalesce(F.sum(F.when(cond, F.col(value))), F.lit(0.0))
+def _sum_if(cond: str, value: str, zero: str, name: str) -> Column:
+    return F.expr(f"coalesce(sum(case when {cond} then {value} end), {zero}) as {name}")
+
+
+def _in(column: str, values: Sequence[str]) -> str:
+    listed = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+    return f"{column} in ({listed})"
 
 
 def wire_legs(wire: DataFrame) -> DataFrame:
@@ -104,8 +110,8 @@ def _legs(
     )
 
 
-def _is(channel: str, direction: str) -> Column:
-    return (F.col("channel") == channel) & (F.col("direction") == direction)
+def _is(channel: str, direction: str) -> str:
+    return f"channel = '{channel}' and direction = '{direction}'"
 
 
 # Per channel and direction: columns for the number, the amount and, for wires, the number that cross a border.
@@ -123,10 +129,10 @@ def _basic_aggregates(channel: str) -> list[Column]:
     columns = []
     for (ch, direction), names in BASIC_NAMES.items():
         if ch == channel:
-            here = F.col("direction") == direction
-            columns.append(_count_if(here & F.col("trxn_id").isNotNull()).alias(names[0]))
-            columns.append(_sum_if(here, "amount").alias(names[1]))
-            columns += [_count_if(here & F.col("international")).alias(n) for n in names[2:]]
+            here = f"direction = '{direction}'"
+            columns.append(_count_if(f"{here} and trxn_id is not null", names[0]))
+            columns.append(_sum_if(here, "amount", "0.0D", names[1]))
+            columns += [_count_if(f"{here} and international", n) for n in names[2:]]
     return columns
 
 
@@ -261,7 +267,7 @@ def country_counters(kyc: DataFrame, wire: DataFrame) -> DataFrame:
         wire_legs(wire)
         .withColumn("_code", code)
         .groupBy("cust_id")
-        .agg(*[_count_if((F.col("direction") == d) & (F.col("_code") == c)).alias(n) for n, d, c in names])
+        .agg(*[_count_if(f"direction = '{d}' and _code = '{c}'", n) for n, d, c in names])
     )
     return zero_fill(kyc.select("cust_id").join(counts, "cust_id", "left"), [n for n, _, _ in names])
 
@@ -368,7 +374,7 @@ def _other_side(kyc: DataFrame, legs: DataFrame, lookup: Mapping[str, Sequence[s
 
 def _category_aggregates(*channels: str) -> list[Column]:
     return [
-        _count_if(_is(ch, d) & (F.col(f"_is_{c}") == 1)).alias(f"no_{ch}_{c}_occupation_{d}")
+        _count_if(f"{_is(ch, d)} and _is_{c} = 1", f"no_{ch}_{c}_occupation_{d}")
         for ch in channels
         for c in OCCUPATION_CATEGORIES
         for d in ("sent", "received")
@@ -377,7 +383,7 @@ def _category_aggregates(*channels: str) -> list[Column]:
 
 def _jurisdiction_aggregates() -> list[Column]:
     return [
-        _count_if(_is("wire", d) & F.col("other_country").isin(*codes)).alias(f"no_wire_{d}_{name}")
+        _count_if(f"{_is('wire', d)} and {_in('other_country', codes)}", f"no_wire_{d}_{name}")
         for name, codes in (("wildlife_jurisdiction", WILDLIFE_JURISDICTION), ("north_america", NORTH_AMERICA))
         for d in ("sent", "received")
     ]
@@ -385,7 +391,7 @@ def _jurisdiction_aggregates() -> list[Column]:
 
 def _external_aggregates(*channels: str) -> list[Column]:
     return [
-        _count_if(_is(ch, d) & is_external(F.col("other_id"))).alias(f"no_external_{ch}_trxn_{d}")
+        _count_if(f"{_is(ch, d)} and startswith(other_id, '{EXTERNAL_PREFIX}')", f"no_external_{ch}_trxn_{d}")
         for ch in channels
         for d in ("received", "sent")
     ]
@@ -398,7 +404,7 @@ def _message_marks(words: Mapping[str, Sequence[str]]) -> dict[str, Column]:
 
 def _message_aggregates() -> list[Column]:
     return [
-        F.coalesce(F.sum(F.when(_is("emt", d), F.col(f"_words_{c}"))), F.lit(0).cast(COUNTS)).alias(f"no_emt_{c}_msg_{d}")
+        _sum_if(_is("emt", d), f"_words_{c}", "0L", f"no_emt_{c}_msg_{d}")
         for c in WORD_CATEGORIES
         for d in ("sent", "received")
     ]

@@ -5,8 +5,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 COUNTRY_CODES = "AUCACNGEINMXRUSAUKUSZZ"
 
@@ -28,8 +29,27 @@ WORDS = {
 FUZZY_CHOICES = ["BUILDING 0", "BUILDNG 12", "MACHINERY X", "AUTOMOBIL", "HOUSE", "FURNITURE 3"]
 
 
-def customer_code(key: Column) -> Column:
-    return F.concat(F.lit("CUST"), F.lpad(key.cast("string"), 8, "0"))
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def customer_code(key: str) -> str:
+    return f"concat('CUST', lpad(string({key}), 8, '0'))"
+
+
+def _party(key: str) -> str:
+    return f"case when {key} >= n then concat('EXTERNAL', lpad(string({key}), 6, '0')) else {customer_code(key)} end"
+
+
+def _country(key: str, side: str) -> str:
+    return f"nullif(substring('{COUNTRY_CODES}', int(2 * ({key} % 12) + 1), 2), '') as country_{side}"
+
+
+_PARTIES = (
+    f"{_party('s')} as id_sender",
+    f"{_party('r')} as id_receiver",
+    "concat('NAME ', string(s % 1000)) as name_sender",
+    "concat('NAME ', string(r % 1000)) as name_receiver",
+)
 
 
 @dataclass
@@ -40,21 +60,24 @@ class Bank:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A test table. Its schema is read from the file once per process, not once per use."""
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     @cached_property
     def kyc_with_open_sanctions(self) -> DataFrame:
-        key = F.col("c_custkey")
-        prefix = F.when(key % 7 == 0, "DR.").when(key % 11 == 0, "MRS. ").otherwise("")
-        return self.table("customer").select(
-            customer_code(key).alias("cust_id"),
-            F.concat(prefix, F.lit("NAME "), (key % 1000).cast("string")).alias("Name"),
-            F.when(key % 20 == 0, "other").when(key % 2 == 0, "male").otherwise("female").alias("Gender"),
-            F.concat_ws(" ", "c_mktsegment", (F.col("c_nationkey") % 10).cast("string")).alias("Occupation"),
-            F.when(key % 97 == 0, None).otherwise(18 + (key * 7) % 75).cast("int").alias("Age"),
-            ((key * 5) % 49).cast("int").alias("Tenure"),
-            (F.col("c_acctbal") < 0).cast("int").alias("label"),
-            (key % 23 == 0).cast("int").alias("OpenSanc_query"),
+        return self.table("customer").selectExpr(
+            f"{customer_code('c_custkey')} as cust_id",
+            "concat(case when c_custkey % 7 = 0 then 'DR.' when c_custkey % 11 = 0 then 'MRS. ' else '' end,"
+            " 'NAME ', string(c_custkey % 1000)) as Name",
+            "case when c_custkey % 20 = 0 then 'other' when c_custkey % 2 = 0 then 'male' else 'female' end as Gender",
+            "concat(c_mktsegment, ' ', string(c_nationkey % 10)) as Occupation",
+            "int(case when c_custkey % 97 = 0 then null else 18 + (c_custkey * 7) % 75 end) as Age",
+            "int((c_custkey * 5) % 49) as Tenure",
+            "int(c_acctbal < 0) as label",
+            "int(c_custkey % 23 = 0) as OpenSanc_query",
         )
 
     @cached_property
@@ -65,71 +88,47 @@ class Bank:
     def _transfers(self) -> DataFrame:
         """Orders read as transfers; receivers beyond the last customer are external parties."""
         customers = self.table("customer").agg(F.count(F.lit(1)).alias("n")).scalar()
-        keyed = self.table("orders").select(
-            F.col("o_orderkey").alias("k"),
-            F.col("o_orderstatus").alias("status"),
-            F.col("o_totalprice").alias("value"),
-            F.col("o_orderpriority").alias("priority"),
-            F.col("o_custkey").alias("s"),
-            customers.alias("n"),
+        keyed = self.table("orders").select("*", customers.alias("n"))
+        return keyed.selectExpr(
+            "o_orderkey as k",
+            "o_orderstatus as status",
+            "o_totalprice as value",
+            "o_orderpriority as priority",
+            "o_custkey as s",
+            "(o_orderkey * 7919 + 13) % (n + floor(n / 10)) as r",
+            "n",
         )
-        return keyed.withColumn("r", (F.col("k") * 7919 + 13) % (F.col("n") + F.floor(F.col("n") / 10)))
-
-    @staticmethod
-    def _party(key: str) -> Column:
-        outside = F.concat(F.lit("EXTERNAL"), F.lpad(F.col(key).cast("string"), 6, "0"))
-        return F.when(F.col(key) >= F.col("n"), outside).otherwise(customer_code(F.col(key)))
-
-    @staticmethod
-    def _country(key: str) -> Column:
-        start = (2 * (F.col(key) % 12) + 1).cast("int")
-        return F.nullif(F.substring(F.lit(COUNTRY_CODES), start, F.lit(2)), F.lit(""))
-
-    @staticmethod
-    def _name(key: str) -> Column:
-        return F.concat(F.lit("NAME "), (F.col(key) % 1000).cast("string"))
 
     @cached_property
     def wire(self) -> DataFrame:
-        return self._transfers.filter(F.col("status") == "F").select(
-            F.concat(F.lit("W"), F.col("k").cast("string")).alias("wire_trxn_id"),
-            self._party("s").alias("id_sender"),
-            self._party("r").alias("id_receiver"),
-            self._name("s").alias("name_sender"),
-            self._name("r").alias("name_receiver"),
-            F.col("value").alias("wire_value"),
-            self._country("s").alias("country_sender"),
-            self._country("r").alias("country_receiver"),
+        return self._transfers.filter("status = 'F'").selectExpr(
+            "concat('W', string(k)) as wire_trxn_id", *_PARTIES, "value as wire_value", _country("s", "sender"), _country("r", "receiver")
         )
 
     @cached_property
     def emt(self) -> DataFrame:
-        part = self.table("part").select("p_partkey", F.concat("p_name", F.lit("! "), F.upper("p_type")).alias("text"))
+        part = self.table("part").selectExpr("p_partkey", "concat(p_name, '! ', upper(p_type)) as text")
         parts = self.table("part").agg(F.count(F.lit(1)).alias("n")).scalar()
-        sent = self._transfers.filter(F.col("status") == "O").withColumn("pk", F.col("k") % parts)
-        return sent.join(part, F.col("pk") == F.col("p_partkey")).select(
-            F.concat(F.lit("E"), F.col("k").cast("string")).alias("emt_trxn_id"),
-            self._party("s").alias("id_sender"),
-            self._party("r").alias("id_receiver"),
-            self._name("s").alias("name_sender"),
-            self._name("r").alias("name_receiver"),
-            F.when(F.col("k") % 5 != 0, F.col("text")).alias("emt_message"),
-            F.col("value").alias("emt_value"),
+        sent = self._transfers.filter("status = 'O'").withColumn("pk", F.col("k") % parts)
+        return sent.join(part, F.col("pk") == F.col("p_partkey")).selectExpr(
+            "concat('E', string(k)) as emt_trxn_id",
+            *_PARTIES,
+            "case when k % 5 <> 0 then text end as emt_message",
+            "value as emt_value",
         )
 
     @cached_property
     def cash(self) -> DataFrame:
-        return self._transfers.filter(F.col("status") == "P").select(
-            F.concat(F.lit("C"), F.col("k").cast("string")).alias("cash_trxn_id"),
-            self._party("s").alias("cust_id"),
-            F.col("value").alias("amount"),
-            F.when(F.col("priority") < "3", "deposit").otherwise("withdrawal").alias("type"),
+        return self._transfers.filter("status = 'P'").selectExpr(
+            "concat('C', string(k)) as cash_trxn_id",
+            f"{_party('s')} as cust_id",
+            "value as amount",
+            "case when priority < '3' then 'deposit' else 'withdrawal' end as type",
         )
 
     @cached_property
     def seeds(self) -> DataFrame:
-        key = F.col("c_custkey")
-        return self.table("customer").filter(key % 50 == 0).select(customer_code(key).alias("id"))
+        return self.table("customer").filter("c_custkey % 50 = 0").selectExpr(f"{customer_code('c_custkey')} as id")
 
     @cached_property
     def risk_ids(self) -> DataFrame:
@@ -142,10 +141,11 @@ class Bank:
     @cached_property
     def suspects(self) -> DataFrame:
         """Every 50th customer; some are listed twice."""
-        key = F.col("c_custkey")
-        listed = self.table("customer").filter(key % 50 == 0)
-        first = listed.select(customer_code(key).alias("id"), F.when(key % 100 == 0, "seller").otherwise("buyer").alias("Type"))
-        again = listed.filter(key % 200 == 0).select(customer_code(key).alias("id"), F.lit("buyer").alias("Type"))
+        listed = self.table("customer").filter("c_custkey % 50 = 0")
+        first = listed.selectExpr(
+            f"{customer_code('c_custkey')} as id", "case when c_custkey % 100 = 0 then 'seller' else 'buyer' end as Type"
+        )
+        again = listed.filter("c_custkey % 200 = 0").selectExpr(f"{customer_code('c_custkey')} as id", "'buyer' as Type")
         return first.unionByName(again)
 
     @cached_property
