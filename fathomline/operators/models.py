@@ -115,7 +115,8 @@ def auc_of(scored: DataFrame) -> float:
 def _evaluator(metric: str):
     if metric == "accuracy":
         return MulticlassClassificationEvaluator(labelCol=LABEL, metricName="accuracy")
-    return BinaryClassificationEvaluator(labelCol=LABEL, metricName="areaUnderROC", numBins=0)
+    # A tree's raw prediction is the class counts of a leaf, which do not rank across leaves.
+    return BinaryClassificationEvaluator(labelCol=LABEL, rawPredictionCol="probability", metricName="areaUnderROC", numBins=0)
 
 
 def grid_points(estimator: Estimator, grid: Mapping[str, Sequence]) -> list[dict]:
