@@ -38,7 +38,7 @@ def test_partition_count_does_not_change_a_split(rows):
 
 
 def test_grid_search_save_and_load(rows, tmp_path):
-    model, table = models.grid_search(rows, models.tree(), {"maxDepth": [1, 2]}, 2)
+    model, table = models.grid_search(rows, models.tree(), {"maxDepth": [1, 4]}, 2)
     assert table.count() == 2 and table.agg(F.max("metric")).first()[0] > 0.9
     models.save_model(model, str(tmp_path / "m"))
     loaded = models.load_model(str(tmp_path / "m"))
