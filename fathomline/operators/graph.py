@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.operators.skew import hot_keys, list_parts, spread_join
+from fathomline.operators.skew import HOT_ROWS, hot_keys, list_parts, spread_join
 from fathomline.session import cut_lineage
 
 
@@ -89,9 +89,11 @@ def _local_moves(edges: DataFrame, rounds: int, settled: float = 0.01) -> DataFr
     state = nodes.withColumn("community", F.col("node"))
     m2 = nodes.agg(F.sum("k").alias("m2")).scalar()
     hubs = hot_keys(both, "v")
+    many = nodes.count() > HOT_ROWS
     for step in range(rounds):
         totals = state.groupBy(F.col("community").alias("_c")).agg(F.sum("k").alias("_tot"))
-        large = hot_keys(state, "community")
+        # Up to HOT_ROWS nodes no community can be hot.
+        large = hot_keys(state, "community") if many else []
         placed = spread_join(state, totals, "community", "_c", "inner", ["node"], large).withColumnRenamed("_tot", "own_tot")
         seen = spread_join(
             both, state.select("node", F.col("community").alias("to")), "v", "node", "inner", ["u"], hubs
@@ -120,7 +122,7 @@ def _local_moves(edges: DataFrame, rounds: int, settled: float = 0.01) -> DataFr
     return state.select("node", "community")
 
 
-def louvain(edges: DataFrame, rounds: int = 8, levels: int = 4, min_gain: float = 1e-4) -> DataFrame:
+def louvain(edges: DataFrame, rounds: int = 6, levels: int = 4, min_gain: float = 1e-4) -> DataFrame:
     """Modularity communities of a weighted undirected graph (a, b, w): local moves, then contraction."""
     level = cut_lineage(edges.filter(F.col("w") > 0).select("a", "b", F.col("w").cast("double").alias("w")))
     graph = level

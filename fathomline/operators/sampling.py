@@ -45,11 +45,11 @@ def unused_majority(df: DataFrame, chosen: DataFrame, label: str, id_col: str) -
 
 
 def oversample(df: DataFrame, label: str, id_col: str, seed: int = 0) -> DataFrame:
-    """All rows once, plus minority rows drawn with replacement until both classes are equal in size.
+    """The majority once and, as often, minority rows drawn with replacement.
 
-    The reference sizes: minority rows are replaced by n_majority draws. Each majority
-    row stands for one draw; the drawn minority rank is a hash of its number, so draws
-    spread evenly over the minority.
+    The minority is replaced by as many draws as there are majority rows. Each majority row
+    stands for one draw; the drawn minority rank is a hash of its number, so draws spread
+    evenly over the minority.
     """
     mode, rest = _classes(df, label)
     ranked = hash_rank(df, id_col, seed, [label], "_rank").withColumn("_major", F.col(label) == mode)

@@ -29,10 +29,14 @@ def hot_keys(df: DataFrame, *keys: str | Sequence[str], share: int = HOT_SHARE,
     over the key columns with partial counts; chained joins should share one list.
     """
     codes = [key_code([k] if isinstance(k, str) else k) for k in keys]
-    total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counts = df.select(F.explode(F.array(*codes)).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
-    hot = counts.filter((F.col("n") > min_rows) & (F.col("n") * F.lit(share) > total))
-    return [r["code"] for r in hot.select("code").collect()]
+    coded = df.select(F.explode(F.array(*codes)) if len(codes) > 1 else codes[0]).toDF("code")
+    counts = coded.groupBy("code").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > min_rows)
+    # A key above the share is among the first share * len(keys), so no more need to be looked at.
+    top = counts.orderBy(F.desc("n")).limit(share * len(codes)).collect()
+    if not top:
+        return []
+    total = df.count()
+    return [r["code"] for r in top if r["n"] * share > total]
 
 
 def spread_join(

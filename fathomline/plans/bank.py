@@ -822,9 +822,7 @@ def _(b: Bank) -> DataFrame:
     "softmax_vec",
     """select Occupation, value, exp(value - max(value) over ()) / sum(exp(value - max)) over () as softmax, value / sum(value) over () as linear,
       1 / (1 + exp(-value)) as sigmoid
-    from (select *, max(value) over () as max from (select Occupation, avg(label) * 10 as value from kyc group by 1))""".replace(
-        "select Occupation, value, exp", "select Occupation, value, exp"
-    ),
+    from (select *, max(value) over () as max from (select Occupation, avg(label) * 10 as value from kyc group by 1))""",
     value=6,
     softmax=8,
     linear=8,

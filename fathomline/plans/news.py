@@ -72,9 +72,6 @@ NEWS_VIEWS = (
     ),
 )
 
-# Seven sites of the stored pages play the part of the news sites.
-SITES = ("https://thther.example.org/", "http://blog.", "https://www.")
-
 LINK_SQL = "select distinct url as link from pages where regexp_matches(url, '[0-9]{3}.{4}$')"
 
 
