@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _ENTRY = "spark.checkpoint.dir"
+_LOCAL: dict[str, str] = {}  # own folder of each local application
 
 
 def local_session(cores: str = "8", partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -31,14 +32,15 @@ def shared_dir(spark: SparkSession) -> str:
     The cluster names it in ``spark.checkpoint.dir``. Only a local session may fall
     back to a temporary folder, because there every task runs on this machine.
     """
-    configured = spark.conf.get(_ENTRY, None)
+    context = spark.sparkContext
+    configured = spark.conf.get(_ENTRY, None) or context.getConf().get(_ENTRY)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {_ENTRY} to a folder that every executor can reach")
-    own = tempfile.mkdtemp(prefix="fathomline-")
-    spark.conf.set(_ENTRY, own)
-    return own
+    if context.applicationId not in _LOCAL:
+        _LOCAL[context.applicationId] = tempfile.mkdtemp(prefix="fathomline-")
+    return _LOCAL[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
