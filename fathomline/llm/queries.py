@@ -6,17 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.llm import exact_dedup, mixing
+from fathomline.llm import decontamination, exact_dedup, html_extraction, language, line_dedup, mixing, secrets, token_counts
 from fathomline.llm.common import table
 
 
-def _over(name: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, folder: build(table(spark, folder, name))
+def _over(build: Callable[..., DataFrame], *names: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: build(*[table(spark, folder, n) for n in names])
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op6_exact_dedup": _over("documents", exact_dedup.op6_exact_dedup),
-    "op8_mixing": _over("documents", mixing.op8_mixing),
+    "op1_secret_scan": _over(secrets.op1_secret_scan, "documents"),
+    "op2_token_counts": _over(token_counts.op2_token_counts, "documents"),
+    "op4_html_extraction": _over(html_extraction.op4_html_extraction, "pages"),
+    "op5_language_id": _over(language.op5_language_id, "documents"),
+    "op6_exact_dedup": _over(exact_dedup.op6_exact_dedup, "documents"),
+    "op8_mixing": _over(mixing.op8_mixing, "documents"),
+    "op9_line_dedup": _over(line_dedup.op9_line_dedup, "documents"),
+    "op10_decontamination": _over(decontamination.op10_decontamination, "documents", "benchmark"),
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exact_dedup.OP6_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exact_dedup.OP6_SQL, "op9_line_dedup": line_dedup.OP9_SQL}
