@@ -16,6 +16,7 @@ import ahocorasick
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType
 
 from fathomline.llm.common import col, packed, unpacked
 
@@ -160,6 +161,14 @@ def blocks_of(benchmark: DataFrame, text: str = "text", item_id: str = "item_id"
     return blocks
 
 
+def _leaks(block: list[tuple[object, str]], text: Column, id_type: DataType) -> Column:
+    hit = _searcher([(i, body) for i, (_, body) in enumerate(block)])(text)
+    names = F.array(*[F.lit(one) for one, _ in block]).cast(ArrayType(id_type))
+    return F.transform(
+        hit, lambda h: F.struct(names[h["item"]].alias("item_id"), h["start"].alias("start"), h["end"].alias("end"), h["distance"].alias("distance"))
+    )
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """Every row with ``leaks``: an array of (item_id, start, end, distance), the best place of each item.
 
@@ -167,13 +176,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_t
     expression over the same scan.
     """
     ids = benchmark.schema[item_id].dataType
-    found: list[Column] = []
-    for block in blocks_of(benchmark, item_text, item_id):
-        names = F.array(*[F.lit(one).cast(ids) for one, _ in block]) if block else F.array().cast(f"array<{ids.simpleString()}>")
-        hit = _searcher([(i, body) for i, (_, body) in enumerate(block)])(F.col(f"row.`{text}`"))
-        found.append(
-            F.transform(hit, lambda h, names=names: F.struct(names[h["item"]].alias("item_id"), h["start"].alias("start"), h["end"].alias("end"), h["distance"].alias("distance")))
-        )
+    found = [_leaks(block, F.col(f"row.`{text}`"), benchmark.schema[item_id].dataType) for block in blocks_of(benchmark, item_text, item_id)]
     return unpacked(packed(docs), docs.columns, {"leaks": F.concat(*found)})
 
 
