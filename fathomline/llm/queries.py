@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.llm import decontamination, exact_dedup, html_extraction, language, line_dedup, mixing, secrets, token_counts
+from fathomline.llm import decontamination, exact_dedup, html_extraction, language, line_dedup, mixing, ngram_join, secrets, token_counts
 from fathomline.llm.common import table
 
 
@@ -17,6 +17,7 @@ def _over(build: Callable[..., DataFrame], *names: str) -> Callable[[SparkSessio
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": _over(secrets.op1_secret_scan, "documents"),
     "op2_token_counts": _over(token_counts.op2_token_counts, "documents"),
+    "op3_ngram_join": _over(ngram_join.op3_ngram_join, "documents"),
     "op4_html_extraction": _over(html_extraction.op4_html_extraction, "pages"),
     "op5_language_id": _over(language.op5_language_id, "documents"),
     "op6_exact_dedup": _over(exact_dedup.op6_exact_dedup, "documents"),
