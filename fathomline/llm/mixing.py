@@ -144,7 +144,8 @@ def op8_mixing(docs: DataFrame) -> DataFrame:
     """Per row doc_id, size, source_size, target and taken: the words of it that the mix takes, repeats counted."""
     made = mix(docs)
     uses = made.slots.groupBy("source", "block").agg(F.count(F.lit(1)).alias("uses"))
-    uses = uses.select(F.col("source").alias("of"), F.col("block").alias("at"), "uses")
+    # Written, so that its size is known: the optimizer does not count what explode adds and would send it to all tasks.
+    uses = cut_lineage(uses.select(F.col("source").alias("of"), F.col("block").alias("at"), "uses"))
     same = F.col("source").eqNullSafe(F.col("of")) & (F.col("block") == F.col("at"))
     taken = made.pieces.join(uses, same, "left").withColumn("took", F.col("words") * F.coalesce(F.col("uses"), F.lit(0)))
     per_row = taken.filter(F.col("size") > 0).groupBy("source", "start", "doc_id", "size").agg(F.sum("took").alias("taken"))
