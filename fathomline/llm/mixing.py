@@ -19,7 +19,8 @@ from fathomline.session import cut_lineage
 
 BLOCK = 64  # words in a block
 SHARD_SLOTS = 65_536  # slots of an output shard, about 4 million words
-BUCKET_ROWS = 20_000  # documents of a source that one task lays end to end
+BUCKET_ROWS = 1000  # documents of a source that one task lays end to end
+TASK_SLOTS = 131_072  # slots a task maps to blocks
 CHUNK = 8192  # slots one row is expanded to
 ROUNDS = 12  # of the permutation
 WEIGHTS = (5, 2, 1)  # by the rank of the source, repeating
@@ -96,19 +97,21 @@ def laid_out(sized: DataFrame) -> DataFrame:
 
 def draw(sources: DataFrame, seed: int) -> DataFrame:
     """(source, shard, slot, block): the slots of every source, dealt to shards and mapped to blocks."""
-    shards = F.lit(max(1, -(-(sources.agg(F.sum("slots")).first()[0] or 0) // SHARD_SLOTS)))
+    total = sources.agg(F.sum("slots")).first()[0] or 0
+    shards = F.lit(max(1, -(-total // SHARD_SLOTS)))
+    tasks = max(1, -(-total // TASK_SLOTS))  # stated, as a few short rows grow to many
     chunks = sources.filter(F.col("slots") > 0).select(
         "source", "blocks", "slots", F.explode(F.sequence(F.lit(0), F.floor((F.col("slots") - 1) / CHUNK))).alias("chunk")
     )
     ends = F.least((F.col("chunk") + 1) * CHUNK, F.col("slots")) - 1
-    drawn = chunks.repartition("source", "chunk").select(
+    drawn = chunks.repartition(tasks, "source", "chunk").select(
         "source", "blocks", F.explode(F.sequence(F.col("chunk") * CHUNK, ends)).alias("draw")
     )
     shard = F.pmod(F.xxhash64(F.lit("shard"), F.lit(seed), "source", "draw"), shards)
     counts = drawn.groupBy("source", "blocks", shard.alias("shard")).agg(F.count(F.lit(1)).alias("n"))
     first = F.sum("n").over(Window.partitionBy("source").orderBy("shard")) - F.col("n")
     cells = counts.withColumn("first", first)
-    slots = cells.repartition("source", "shard").select(
+    slots = cells.repartition(tasks, "source", "shard").select(
         "source", "blocks", "shard", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot")
     )
     turn = F.floor(F.col("slot") / F.col("blocks"))
