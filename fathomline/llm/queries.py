@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.llm import decontamination, exact_dedup, html_extraction, language, line_dedup, mixing, ngram_join, secrets, token_counts
+from fathomline.llm import decontamination, exact_dedup, html_extraction, language, line_dedup, mixing, ngram_join, secrets, suffix_dedup, token_counts
 from fathomline.llm.common import table
 
 
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_html_extraction": _over(html_extraction.op4_html_extraction, "pages"),
     "op5_language_id": _over(language.op5_language_id, "documents"),
     "op6_exact_dedup": _over(exact_dedup.op6_exact_dedup, "documents"),
+    "op7_suffix_dedup": _over(suffix_dedup.op7_suffix_dedup, "documents"),
     "op8_mixing": _over(mixing.op8_mixing, "documents"),
     "op9_line_dedup": _over(line_dedup.op9_line_dedup, "documents"),
     "op10_decontamination": _over(decontamination.op10_decontamination, "documents", "benchmark"),
