@@ -139,7 +139,7 @@ def _searcher(block: list[tuple[int, str]]):
         for batch in texts:
             yield pd.Series([[dict(zip(("item", "start", "end", "distance"), h)) for h in hits(t, items)] for t in batch], dtype=object)
 
-    return search
+    return search.asNondeterministic()  # else a filter on the result searches a second time
 
 
 def blocks_of(benchmark: DataFrame, text: str = "text", item_id: str = "item_id") -> list[list[tuple[object, str]]]:
