@@ -86,11 +86,14 @@ class Items:
         self.automaton = ahocorasick.Automaton()
         for piece, places in pieces.items():
             self.automaton.add_word(piece, (len(piece), places))
-        self.automaton.make_automaton()
+        if pieces:
+            self.automaton.make_automaton()
 
     def places(self, text: str) -> dict[int, tuple[int, int, int]]:
         """item -> its best (distance, start, end) in a plain text, the leftmost of equals; matches begin and end at words."""
         best: dict[int, tuple[int, int, int]] = {}
+        if not self.items:
+            return best
         tried: set[tuple[int, int]] = set()
         for last, (length, where) in self.automaton.iter(text):
             for i, at in where:
