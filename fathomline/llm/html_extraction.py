@@ -118,7 +118,7 @@ def parsed(html: str | None) -> Page:
     def pop() -> None:
         nonlocal dropped, links, whole
         tag, drop, container = stack.pop()
-        if tag in BLOCK:
+        if tag in BLOCK or container >= 0:
             flush()
         dropped -= drop
         links -= tag == "a"
@@ -167,19 +167,21 @@ def parsed(html: str | None) -> Page:
                     break
             flush()
         if tag in CLOSED_BY:
+            last = len(stack)
             for i in range(len(stack) - 1, -1, -1):
-                if stack[i][0] in CLOSED_BY[tag]:
-                    while len(stack) > i:
-                        pop()
-                    break
                 if stack[i][0] in ("ul", "ol", "dl", "table", "select"):
                     break
+                if stack[i][0] in CLOSED_BY[tag]:
+                    last = i
+            while len(stack) > last:
+                pop()
         if m.group("attrs").endswith("/") and tag not in BLOCK:
             continue
         drop = _is_boilerplate(tag, attributes)
         container = -1
         if tag in CONTAINERS and not drop and not dropped and not whole:
             up = page.paths[around[-1]] if around else ""
+            flush()
             container = len(page.paths)
             page.paths.append(f"{up}>{_step(tag, attributes)}" if up else _step(tag, attributes))
             around.append(container)
