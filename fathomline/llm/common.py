@@ -29,3 +29,13 @@ def unpacked(df: DataFrame, columns: Iterable[str], added: dict[str, Column], na
     taken = {a.lower() for a in added}
     keep = [F.col(f"{name}.`{c}`") for c in columns if c.lower() not in taken]
     return df.select(*keep, *[v.alias(k) for k, v in added.items()])
+
+
+BATCH_ROWS = 1000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Texts are long: tasks hand Python at most ``BATCH_ROWS`` of them at once, so that a worker holds a few megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
