@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.llm.common import col
+from fathomline.llm.common import col, short_batches
 from fathomline.llm.shingles import mixed, powers
 from fathomline.session import cut_lineage, scratch_path
 
@@ -37,7 +37,7 @@ SAMPLED = LENGTH // 2
 SEGMENT = 1 << 20  # windows of a text that are named at once
 BUCKET_SAMPLES = 500_000  # samples of a bucket, about 14 MB
 BUCKET_WINDOWS = 1_000_000
-BATCH_BYTES = 64_000_000  # of text that a task names before it sends
+HELD_WINDOWS = 2_000_000  # that a task names before it sends them
 
 _U = np.uint64
 _LEFT, _RIGHT = _U(0xA0761D6478BD642F), _U(0xE7037ED1A0B428DB)
@@ -99,29 +99,32 @@ def as_bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), dtype=np.uint8)
 
 
-SAMPLE = np.dtype([("sample", "<u8"), ("name", "<u8"), ("row", "<i4"), ("place", "<i4"), ("many", "?")])
-WINDOW = np.dtype([("name", "<u8"), ("sample", "<u4"), ("row", "<i4"), ("place", "<i4"), ("many", "?")])
-STATE = np.dtype([("place", "<i4"), ("state", "i1")])
-SENT = "kind string, bucket long, f long, g long, body binary"
+SAMPLE = np.dtype([("sample", "<u8"), ("name", "<u8"), ("row", "<i4"), ("place", "<i4"), ("seen", "i1")])
+WINDOW = np.dtype([("name", "<u8"), ("sample", "<u4"), ("row", "<i4"), ("place", "<i4"), ("seen", "i1")])
+REPLY = np.dtype([("row", "<i4"), ("place", "<i4"), ("state", "i1")])
+SENT = "bucket long, body binary"
+ONCE, MANY, ANSWERED = 0, 1, 2  # seen by the task that sends it; what is answered only passes through a bucket
 
 
-def _distinct(records: np.ndarray, *keys: str) -> tuple[np.ndarray, np.ndarray]:
-    """One record for each key with ``many`` set if there are more, and all records of such keys."""
-    order = np.lexsort([records[k] for k in reversed(keys)])
-    records = records[order]
+def _sorted_groups(records: np.ndarray, *keys: str) -> tuple[np.ndarray, np.ndarray]:
+    """Records sorted by the keys, and where each group of equal ones begins."""
+    records = records[np.lexsort([records[k] for k in reversed(keys)])]
     new = np.ones(len(records), dtype=bool)
     if len(records) > 1:
         new[1:] = np.logical_or.reduce([records[k][1:] != records[k][:-1] for k in keys])
-    starts = np.flatnonzero(new)
-    several = np.diff(np.append(starts, len(records))) > 1
-    one = records[starts].copy()
-    one["many"] |= several
-    return one, records[np.repeat(several, np.diff(np.append(starts, len(records))))]
+    return records, new
+
 
+def _marked(records: np.ndarray, *keys: str) -> np.ndarray:
+    """Of equal records the first asks for all of a task, the others are answered."""
+    records, new = _sorted_groups(records, *keys)
+    several = np.bincount(np.cumsum(new) - 1)[np.cumsum(new) - 1] > 1 if len(records) else new
+    records["seen"] = np.where(several, np.where(new, MANY, ANSWERED), ONCE)
+    return records
 
-def _addressed(records: np.ndarray, rows: np.ndarray, buckets: int, key: str) -> list[tuple]:
-    """Records packed per bucket, with the two long ids of the rows they name."""
-    bucket = (records[key] % _U(buckets)).astype(np.int64)
+
+def _packed(records: np.ndarray, rows: np.ndarray, bucket: np.ndarray) -> pd.DataFrame:
+    """Records per bucket, with the two ids of the texts they are of."""
     order = np.argsort(bucket, kind="stable")
     records, bucket = records[order], bucket[order]
     starts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(bucket) else []
@@ -129,13 +132,19 @@ def _addressed(records: np.ndarray, rows: np.ndarray, buckets: int, key: str) ->
     for s, e in zip(starts, [*starts[1:], len(records)]):
         part = records[s:e].copy()
         used, part["row"] = np.unique(part["row"], return_inverse=True)
-        head = np.array([len(used)], dtype=np.int64).tobytes()
-        out.append(("send", int(bucket[s]), None, None, head + rows[used].tobytes() + part.tobytes()))
-    return out
+        out.append((int(bucket[s]), np.array([len(used)], dtype=np.int64).tobytes() + rows[used].tobytes() + part.tobytes()))
+    return pd.DataFrame(out, columns=["bucket", "body"]).astype({"bucket": "int64"})
+
+
+def _sent(records: np.ndarray, rows: np.ndarray, buckets: int, key: str) -> pd.DataFrame:
+    """Equal names meet in a bucket; what is answered goes by its text, so that a frequent name fills no bucket."""
+    by_text = (rows[records["row"], 0] % buckets).astype(np.int64)
+    by_name = (records[key] % _U(buckets)).astype(np.int64)
+    return _packed(records, rows, np.where(records["seen"] == ANSWERED, by_text, by_name))
 
 
 def _gathered(blobs, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
-    """Records of several packs and the ids of their rows."""
+    """Records of several packs and the ids of their texts."""
     rows, records, at = [], [], 0
     for blob in blobs:
         n = int(np.frombuffer(blob, dtype=np.int64, count=1)[0])
@@ -147,87 +156,78 @@ def _gathered(blobs, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(records), np.concatenate(rows)
 
 
-def _replies(rows: np.ndarray, row: np.ndarray, values: np.ndarray) -> list[tuple]:
-    """Values packed per row they belong to."""
-    order = np.argsort(row, kind="stable")
-    row, values = row[order], values[order]
-    starts = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else []
-    return [("reply", None, int(rows[row[s]][0]), int(rows[row[s]][1]), values[s:e].tobytes()) for s, e in zip(starts, [*starts[1:], len(row)])]
-
-
-def _frame(out: list[tuple]) -> pd.DataFrame:
-    # As objects first: with nulls among them pandas would turn the ids into floats.
-    frame = pd.DataFrame(out, columns=["kind", "bucket", "f", "g", "body"], dtype=object)
-    return frame.astype({"bucket": "Int64", "f": "Int64", "g": "Int64"})
-
-
-def _batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Batches cut so that one holds about ``BATCH_BYTES`` of text."""
-    for batch in batches:
-        part = batch["text"].map(len).cumsum() // BATCH_BYTES
-        for _, some in batch.groupby(part, sort=True):
-            yield some
+def _answers(records: np.ndarray, state: np.ndarray, rows: np.ndarray, buckets: int) -> pd.DataFrame:
+    """What a bucket found out, packed for the groups of texts it goes back to."""
+    some = state > 0
+    out = np.empty(int(some.sum()), dtype=REPLY)
+    out["row"], out["place"], out["state"] = records["row"][some], records["place"][some], state[some]
+    return _packed(out, rows, (rows[out["row"], 0] % buckets).astype(np.int64) if len(out) else np.empty(0, dtype=np.int64))
 
 
-def _states(places: np.ndarray, state) -> np.ndarray:
-    out = np.empty(len(places), dtype=STATE)
-    out["place"], out["state"] = places, state
-    return out
+def _delivered(group: pd.DataFrame) -> pd.DataFrame:
+    """The answers for each text in one row."""
+    records, rows = _gathered(group["body"], REPLY)
+    texts, of = np.unique(rows, axis=0, return_inverse=True)
+    records["row"] = of.ravel()[records["row"]]
+    records, new = _sorted_groups(records, "row")
+    starts = np.flatnonzero(new)
+    bodies = [records[s:e].tobytes() for s, e in zip(starts, [*starts[1:], len(records)])]
+    used = records["row"][starts]
+    return pd.DataFrame({"f": texts[used, 0], "g": texts[used, 1], "body": bodies})
 
 
 def _sample_sender(buckets: int):
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _batches(batches):
+        for batch in batches:
             found = []
             for i, text in enumerate(batch["text"]):
                 _, _, sample, name = range_table(as_bytes(text))
                 part = np.zeros(len(sample), dtype=SAMPLE)
                 part["sample"], part["name"], part["row"], part["place"] = sample, name, i, np.arange(len(sample))
                 found.append(part)
-            records = np.concatenate(found)
             rows = batch[["f", "g"]].to_numpy(dtype=np.int64)
-            one, several = _distinct(records, "sample", "name")
-            # The first of several is answered by its bucket like all others.
-            yield _frame(_addressed(one, rows, buckets, "sample") + _replies(rows, several["row"], _states(several["place"], REPEATED)))
+            yield _sent(_marked(np.concatenate(found), "sample", "name"), rows, buckets, "sample")
 
     return send
 
 
-def _settle_samples(bucket: pd.DataFrame) -> pd.DataFrame:
-    records, rows = _gathered(bucket["body"], SAMPLE)
-    records = records[np.lexsort((records["place"], records["row"], records["name"], records["sample"]))]
-    new_sample = np.concatenate(([True], records["sample"][1:] != records["sample"][:-1]))
-    new_name = new_sample | np.concatenate(([True], records["name"][1:] != records["name"][:-1]))
-    of_sample, of_name = np.cumsum(new_sample) - 1, np.cumsum(new_name) - 1
-    several = (np.bincount(of_name) > 1) | (np.bincount(of_name, weights=records["many"]) > 0)
-    settled = several[of_name]
-    size = np.bincount(of_sample)
-    # A range alone with its sample is unique, unless it is one of several of a task.
-    is_open = ~settled & (size[of_sample] > 1)
-    has_open = np.bincount(of_sample, weights=is_open) > 0
-    shown = settled & new_name & has_open[of_sample]
-    state = np.where(shown, SHOWN, np.where(settled, REPEATED, np.where(is_open, OPEN, 0)))
-    some = state > 0
-    return _frame(_replies(rows, records["row"][some], _states(records["place"][some], state[some])))
+def _sample_settler(buckets: int):
+    def settle(bucket: pd.DataFrame) -> pd.DataFrame:
+        everything, rows = _gathered(bucket["body"], SAMPLE)
+        asked = everything["seen"] != ANSWERED
+        done = everything[~asked]
+        records, new_name = _sorted_groups(everything[asked], "sample", "name")
+        new_sample = np.ones(len(records), dtype=bool)
+        new_sample[1:] = records["sample"][1:] != records["sample"][:-1]
+        of_sample, of_name = np.cumsum(new_sample) - 1, np.cumsum(new_name) - 1
+        several = (np.bincount(of_name) > 1) | (np.bincount(of_name, weights=records["seen"]) > 0)
+        settled = several[of_name]
+        # A range alone with its sample is unique, unless it is one of several of a task.
+        is_open = ~settled & (np.bincount(of_sample)[of_sample] > 1)
+        has_open = np.bincount(of_sample, weights=is_open) > 0
+        shown = settled & new_name & has_open[of_sample]
+        state = np.where(shown, SHOWN, np.where(settled, REPEATED, np.where(is_open, OPEN, 0)))
+        return _answers(np.concatenate((records, done)), np.concatenate((state, np.full(len(done), REPEATED))), rows, buckets)
 
+    return settle
 
-def _known(states) -> np.ndarray:
-    """State of each range of a text from the packed replies; a range may be answered twice, the larger state holds."""
-    got = np.frombuffer(b"".join(states), dtype=STATE) if states is not None and len(states) else np.empty(0, dtype=STATE)
-    return got[np.argsort(got["state"], kind="stable")]
+
+def _known(states: bytes | None) -> np.ndarray:
+    return np.frombuffer(states or b"", dtype=REPLY)
 
 
 def _window_sender(buckets: int):
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in _batches(batches):
-            found = [np.empty(0, dtype=WINDOW)]
+        for batch in batches:
+            rows = batch[["f", "g"]].to_numpy(dtype=np.int64)
+            held: list[np.ndarray] = []
             for i, (text, states) in enumerate(zip(batch["text"], batch["states"])):
                 got = _known(states)
                 asked = got["place"][got["state"] >= OPEN]
                 if not len(asked):
                     continue
-                data, first = as_bytes(text), 0
-                for low, high, sample, _, full, at in ranges(data):
+                first = 0
+                for low, high, sample, _, full, at in ranges(as_bytes(text)):
                     here = asked[(asked >= first) & (asked < first + len(low))] - first
                     first += len(low)
                     if not len(here):
@@ -238,24 +238,31 @@ def _window_sender(buckets: int):
                     part = np.zeros(len(places), dtype=WINDOW)
                     part["name"], part["row"], part["place"] = full[places], i, places + at
                     part["sample"] = np.repeat(sample[here] & _U(0xFFFFFFFF), n)
-                    found.append(part)
-            rows = batch[["f", "g"]].to_numpy(dtype=np.int64)
-            one, several = _distinct(np.concatenate(found), "name", "sample")
-            yield _frame(_addressed(one, rows, buckets, "name") + _replies(rows, several["row"], several["place"]))
+                    held.append(part)
+                    if sum(map(len, held)) >= HELD_WINDOWS:
+                        yield _sent(_marked(np.concatenate(held), "name", "sample"), rows, buckets, "name")
+                        held = []
+            if held:
+                yield _sent(_marked(np.concatenate(held), "name", "sample"), rows, buckets, "name")
 
     return send
 
 
-def _settle_windows(bucket: pd.DataFrame) -> pd.DataFrame:
-    records, rows = _gathered(bucket["body"], WINDOW)
-    records = records[np.lexsort((records["sample"], records["name"]))]
-    new = np.concatenate(([True], (records["name"][1:] != records["name"][:-1]) | (records["sample"][1:] != records["sample"][:-1])))
-    of = np.cumsum(new) - 1
-    several = ((np.bincount(of) > 1) | (np.bincount(of, weights=records["many"]) > 0))[of]
-    return _frame(_replies(rows, records["row"][several], records["place"][several]))
+def _window_settler(buckets: int):
+    def settle(bucket: pd.DataFrame) -> pd.DataFrame:
+        everything, rows = _gathered(bucket["body"], WINDOW)
+        asked = everything["seen"] != ANSWERED
+        done = everything[~asked]
+        records, new = _sorted_groups(everything[asked], "name", "sample")
+        of = np.cumsum(new) - 1
+        several = ((np.bincount(of) > 1) | (np.bincount(of, weights=records["seen"]) > 0))[of]
+        state = np.concatenate((np.where(several, REPEATED, 0), np.full(len(done), REPEATED)))
+        return _answers(np.concatenate((records, done)), state, rows, buckets)
+
+    return settle
 
 
-def cover(text: str | None, copies: int, states, windows) -> tuple[int, list[tuple[int, int]]]:
+def cover(text: str | None, copies: int, states: bytes | None, windows: bytes | None) -> tuple[int, list[tuple[int, int]]]:
     """(bytes of the text, removed spans)."""
     data = as_bytes(text)
     n = len(data)
@@ -271,8 +278,8 @@ def cover(text: str | None, copies: int, states, windows) -> tuple[int, list[tup
         settled = np.unique(settled)
         np.add.at(change, low[settled], 1)
         np.add.at(change, high[settled] + LENGTH, -1)
-    if windows is not None and len(windows):
-        places = np.unique(np.frombuffer(b"".join(windows), dtype=np.int32))
+    if windows:
+        places = np.unique(_known(windows)["place"])
         np.add.at(change, places, 1)
         np.add.at(change, places + LENGTH, -1)
     inside = np.concatenate(([False], np.cumsum(change)[:n] > 0, [False]))
@@ -294,9 +301,11 @@ def coverer():
     return covered
 
 
-def _per_text(replies: DataFrame, name: str) -> DataFrame:
-    """Replies of a text in one row: at most a few bytes for each range or window of it."""
-    return replies.groupBy("f", "g").agg(F.collect_list("body").alias(name))
+def _answered(sent: DataFrame, settle, name: str) -> DataFrame:
+    """(f, g, name): what the buckets found out about each text."""
+    answers = sent.groupBy("bucket").applyInPandas(settle, SENT)
+    texts = answers.groupBy("bucket").applyInPandas(_delivered, "f long, g long, body binary")
+    return cut_lineage(texts.withColumnRenamed("body", name))
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -306,6 +315,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     empty table gives an empty table.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     whole = F.coalesce(col(text), F.lit(""))
     rows = docs.select(col(doc_id).alias("doc_id"), whole.alias("text"))
     rows = rows.withColumns({"f": F.xxhash64("text"), "g": F.xxhash64(F.lit("second"), "text")})
@@ -321,14 +331,12 @@ def repeated_spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id")
     sizes = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, sizes // (BUCKET_SAMPLES * SAMPLED // 2))
     long_enough = base.filter(F.octet_length("text") >= LENGTH)
-    sent = cut_lineage(long_enough.select("f", "g", "text").mapInPandas(_sample_sender(buckets), SENT))
-    settled = sent.filter("kind = 'send'").groupBy("bucket").applyInPandas(_settle_samples, SENT)
-    states = cut_lineage(_per_text(settled.unionByName(sent.filter("kind = 'reply'")).select("f", "g", "body"), "states"))
+    sent = long_enough.select("f", "g", "text").mapInPandas(_sample_sender(buckets), SENT)
+    states = _answered(sent, _sample_settler(buckets), "states")
 
+    buckets = max(1, sizes // (8 * BUCKET_WINDOWS))
     left = long_enough.join(states, ["f", "g"]).select("f", "g", "text", "states")
-    sent = cut_lineage(left.mapInPandas(_window_sender(max(1, sizes // (8 * BUCKET_WINDOWS))), SENT))
-    settled = sent.filter("kind = 'send'").groupBy("bucket").applyInPandas(_settle_windows, SENT)
-    windows = cut_lineage(_per_text(settled.unionByName(sent.filter("kind = 'reply'")).select("f", "g", "body"), "windows"))
+    windows = _answered(left.mapInPandas(_window_sender(buckets), SENT), _window_settler(buckets), "windows")
 
     joined = base.join(states, ["f", "g"], "left").join(windows, ["f", "g"], "left")
     done = cut_lineage(joined.select("f", "g", coverer()("text", "copies", "states", "windows").alias("c")))
