@@ -49,7 +49,6 @@ def made():
 def test_removed_bytes_equal_brute_force(docs_of, monkeypatch, segment):
     monkeypatch.setattr(s, "BUCKET_SAMPLES", 20)
     monkeypatch.setattr(s, "BUCKET_WINDOWS", 50)
-    monkeypatch.setattr(s, "BATCH_BYTES", 20_000)
     rows = made()
     if segment < 1000:  # texts cut into many segments; the functions run in this process
         monkeypatch.setattr(s, "SEGMENT", segment)
