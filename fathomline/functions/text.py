@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from html.entities import name2codepoint
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -85,18 +86,47 @@ def person_mentions(text: Column, pattern: str = PERSON) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1))
 
 
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def decode_references(text: Column) -> Column:
+    """Character references as characters, each once; unknown ones stay."""
+    named = F.create_map(*[F.lit(x) for name, code in sorted(name2codepoint.items()) for x in (name, chr(code))], F.lit("apos"), F.lit("'"))
+
+    def decoded(ref: Column) -> Column:
+        name = F.substring(ref, F.lit(2), F.length(ref) - 2)
+        hexed = F.lower(F.substring(name, 2, 1)) == "x"
+        number = F.when(hexed, F.conv(F.substring(name, F.lit(3), F.length(name)), 16, 10)).otherwise(F.substring(name, F.lit(2), F.length(name)))
+        number = number.cast("long")
+        legal = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
+        return F.coalesce(F.when(name.startswith("#"), F.when(legal, char)).otherwise(F.try_element_at(named, name)), ref)
+
+    parts = F.split(text, _REFERENCE, -1)
+    found = F.transform(F.regexp_extract_all(text, F.lit(f"({_REFERENCE})"), F.lit(1)), decoded)
+    return F.array_join(F.zip_with(parts, found, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+
+
 def strip_tags(html: Column) -> Column:
-    return F.regexp_replace(html, r"(?s)<.*?>", "")
+    return decode_references(F.regexp_replace(html, r"(?s)<.*?>", ""))
+
+
+def title_case(text: Column) -> Column:
+    """A capital at the start of every run of letters, small letters in the rest."""
+    runs = F.regexp_extract_all(text, F.lit(r"(\p{L}+|[^\p{L}]+)"), F.lit(1))
+    return F.array_join(F.transform(runs, F.initcap), "")
 
 
 def paragraphs(html: Column) -> Column:
     """Text of all p elements, one per line; an unclosed p runs to the next closing tag."""
-    found = F.regexp_extract_all(html, F.lit(r"(?s)<p(?:\s[^>]*)?>(.*?)</p>"), F.lit(1))
+    found = F.regexp_extract_all(html, F.lit(r"(?is)<p(?:\s[^>]*)?>(.*?)</p\s*>"), F.lit(1))
     return F.array_join(F.transform(found, strip_tags), "\n")
 
 
 def headline(html: Column, css_class: str = "") -> Column:
-    """Text of the h1 elements with exactly this class (any h1 if empty), one per line."""
-    attrs = rf'[^>]*class="{re.escape(css_class)}"[^>]*' if css_class else r"(?:\s[^>]*)?"
-    found = F.regexp_extract_all(html, F.lit(rf"(?s)<h1{attrs}>(.*?)</h1>"), F.lit(1))
+    """Text of the h1 elements with this class among theirs (any h1 if empty), one per line."""
+    name = re.escape(css_class)
+    quoted = "|".join(rf"{q}(?:[^{q}]*\s)?{name}(?:\s[^{q}]*)?{q}" for q in ('"', "'"))
+    attrs = rf"\s(?:[^>]*\s)?class\s*=\s*(?:{quoted}|{name}(?=[\s>]))[^>]*" if css_class else r"(?:\s[^>]*)?"
+    found = F.regexp_extract_all(html, F.lit(rf"(?is)<h1{attrs}>(.*?)</h1\s*>"), F.lit(1))
     return F.array_join(F.transform(found, strip_tags), "\n")

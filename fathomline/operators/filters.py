@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions.scalar import risk_percent, risk_tier, yes_no
+from fathomline.functions.text import title_case
 from fathomline.operators.skew import spread_join
 
 
@@ -66,7 +67,7 @@ def top_k(df: DataFrame, column: str, k: int, ties: Sequence[str] = ()) -> DataF
 
 def present(df: DataFrame) -> DataFrame:
     """Display form of a customer: capitals and Yes/No."""
-    title = {c: F.initcap(F.col(c)) for c in ("Name", "Gender", "Occupation") if c in df.columns}
+    title = {c: title_case(F.col(c)) for c in ("Name", "Gender", "Occupation") if c in df.columns}
     flags = {c: yes_no(F.col(c)) for c in ("label", "OpenSanc_query") if c in df.columns}
     return df.withColumns({**title, **flags})
 

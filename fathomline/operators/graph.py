@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.operators.skew import HOT_ROWS, hot_keys, list_parts, spread_join
+from fathomline.operators.skew import hot_keys, list_parts, spread_join
 from fathomline.session import cut_lineage
 
 
@@ -24,29 +24,35 @@ def _nodes(edges: DataFrame, a: str, b: str) -> DataFrame:
     return edges.select(F.explode(F.array(a, b)).alias("node")).distinct()
 
 
-def _vote(edges: DataFrame) -> DataFrame:
-    """Most frequent label among out-neighbours, the smallest of equals."""
-    votes = edges.groupBy("src", "label").agg(F.count(F.lit(1)).alias("n"))
-    best = votes.groupBy("src").agg(F.min(F.struct(-F.col("n"), F.col("label").alias("label"))).alias("b"))
-    return best.select(F.col("src").alias("node"), F.col("b.label").alias("community"))
+def label_propagation(edges: DataFrame) -> DataFrame:
+    """Communities by repeated majority vote of the out-neighbours, until no node wants another label.
 
-
-def label_propagation(edges: DataFrame, rounds: int = 5) -> DataFrame:
-    """Communities by repeated majority vote of the out-neighbours, all nodes at once.
-
-    A node that pays nobody keeps its own id, so only the others are carried along, and in
-    the first round every neighbour still has its own id: the vote is the smallest one.
+    The vote goes to the most frequent label, the smallest of equals. A node wants it when it is more frequent among the
+    out-neighbours than its own label. Half of the nodes, drawn by a hash of node and round, may change in a round, so that
+    neighbours do not keep swapping labels. A node that pays nobody keeps its own id.
     """
-    pairs = edges.select(F.col("src"), F.col("dst")).distinct()
-    if rounds > 1:
-        pairs = cut_lineage(pairs)
-    hot = hot_keys(pairs, "dst") if rounds > 1 else []
-    labels = pairs.groupBy(F.col("src").alias("node")).agg(F.min("dst").alias("community"))
-    for step in range(1, rounds):
-        if step > 1:
-            labels = cut_lineage(labels)
-        seen = spread_join(pairs, labels, "dst", "node", "left", ["src"], hot)
-        labels = _vote(seen.select("src", F.coalesce("community", "dst").alias("label")))
+    pairs = cut_lineage(edges.select(F.col("src"), F.col("dst")).distinct())
+    hot = hot_keys(pairs, "dst")
+    payers = hot_keys(pairs, "src")
+    labels = cut_lineage(pairs.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node")))
+    step = 0
+    while True:
+        step += 1
+        seen = spread_join(pairs, labels.withColumnRenamed("node", "_dst"), "dst", "_dst", "left", ["src"], hot)
+        votes = seen.groupBy("src", F.coalesce("community", "dst").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+        own = spread_join(votes, labels.select(F.col("node").alias("_src"), "community"), "src", "_src", "inner", ["label"], payers)
+        best = own.groupBy("src", "community").agg(
+            F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("best"),
+            F.max(F.when(F.col("label") == F.col("community"), F.col("n"))).alias("kept"),
+        )
+        wants = -F.col("best.n") > F.coalesce("kept", F.lit(0))
+        turn = F.substring(F.md5(F.concat(F.col("src"), F.lit(f":{step}"))), 1, 1) < "8"
+        after = cut_lineage(
+            best.select(F.col("src").alias("node"), F.when(wants & turn, F.col("best.label")).otherwise(F.col("community")).alias("community"), wants.alias("wants"))
+        )
+        labels = after.drop("wants")
+        if not after.filter("wants").limit(1).count():
+            break
     nodes = _nodes(pairs, "src", "dst")
     return cut_lineage(nodes.join(labels, "node", "left").select("node", F.coalesce("community", "node").alias("community")))
 
@@ -74,11 +80,11 @@ def _community_ends(edges: DataFrame, communities: DataFrame) -> DataFrame:
     return spread_join(spread_join(edges, a, "a", "_a", "inner", ["b"], hot), b, "b", "_b", "inner", ["a"], hot)
 
 
-def _local_moves(edges: DataFrame, rounds: int, settled: float = 0.01) -> DataFrame:
-    """Move nodes to the neighbouring community with the best gain until few still want to.
+def _local_moves(edges: DataFrame) -> DataFrame:
+    """Move nodes to the neighbouring community with the best gain until no node wants to.
 
-    Nodes decide at the same time, so in each round only half of them (by a hash of node
-    and round) may move: two neighbours then do not keep swapping places.
+    Nodes decide at the same time, so in each round only some of them (by a hash of node and round; at first half, later
+    fewer) may move: two neighbours then do not keep swapping places, and few movers at a time raise the modularity.
     """
     both = edges.filter("a <> b").select(
         F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v"), "w"), F.struct(F.col("b").alias("u"), F.col("a").alias("v"), "w"))).alias("x")
@@ -89,11 +95,10 @@ def _local_moves(edges: DataFrame, rounds: int, settled: float = 0.01) -> DataFr
     state = nodes.withColumn("community", F.col("node"))
     m2 = nodes.agg(F.sum("k").alias("m2")).scalar()
     hubs = hot_keys(both, "v")
-    many = nodes.count() > HOT_ROWS
-    for step in range(rounds):
+    step = 0
+    while True:
         totals = state.groupBy(F.col("community").alias("_c")).agg(F.sum("k").alias("_tot"))
-        # Up to HOT_ROWS nodes no community can be hot.
-        large = hot_keys(state, "community") if many else []
+        large = hot_keys(state, "community")
         placed = spread_join(state, totals, "community", "_c", "inner", ["node"], large).withColumnRenamed("_tot", "own_tot")
         seen = spread_join(
             both, state.select("node", F.col("community").alias("to")), "v", "node", "inner", ["u"], hubs
@@ -109,40 +114,39 @@ def _local_moves(edges: DataFrame, rounds: int, settled: float = 0.01) -> DataFr
         )
         step_state = placed.join(options, F.col("node") == F.col("u"), "left")
         kept = F.coalesce("kept", -(F.col("own_tot") - F.col("k")) * F.col("k") / m2)
-        turn = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(2)) == 0
+        turn = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(2 + step // 8)) == 0
+        step += 1
         moves = F.coalesce(turn & (-F.col("best.loss") > kept + 1e-9), F.lit(False))
         wants = F.coalesce(-F.col("best.loss") > kept + 1e-9, F.lit(False))
         state = cut_lineage(
             step_state.select("node", "k", F.when(moves, F.col("best.to")).otherwise(F.col("community")).alias("community"), wants.alias("wants"))
         )
-        restless = state.agg(F.avg(F.col("wants").cast("double")).alias("share")).first()["share"] or 0.0
+        restless = state.filter("wants").limit(1).count()
         state = state.drop("wants")
-        if restless <= settled:
-            break
-    return state.select("node", "community")
+        if not restless:
+            return state.select("node", "community")
 
 
-def louvain(edges: DataFrame, rounds: int = 6, levels: int = 4, min_gain: float = 1e-4) -> DataFrame:
-    """Modularity communities of a weighted undirected graph (a, b, w): local moves, then contraction."""
+def louvain(edges: DataFrame) -> DataFrame:
+    """Modularity communities of a weighted undirected graph (a, b, w): local moves, then contraction, until a level gains nothing."""
     level = cut_lineage(edges.filter(F.col("w") > 0).select("a", "b", F.col("w").cast("double").alias("w")))
     graph = level
     members = cut_lineage(_nodes(graph, "a", "b")).withColumn("community", F.col("node"))
     best = _score(graph, members)
-    for _ in range(levels):
-        moved = _local_moves(level, rounds)
+    while True:
+        moved = _local_moves(level)
         step = moved.select(F.col("node").alias("_old"), F.col("community").alias("_new"))
         joined = spread_join(members, step, "community", "_old", "inner", ["node"])
         candidate = cut_lineage(joined.select("node", F.col("_new").alias("community")))
         score = _score(graph, candidate)
-        if score <= best + min_gain:
-            return candidate if score > best else members
+        if score <= best + 1e-9:  # rounding, no gain
+            return members
         members, best = candidate, score
         ends = _community_ends(level, moved)
         # Inner weight becomes a loop, which counts once in w and twice in a degree.
         level = cut_lineage(
             ends.groupBy(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(F.sum("w").alias("w"))
         )
-    return members
 
 
 def _score(edges: DataFrame, members: DataFrame) -> float:

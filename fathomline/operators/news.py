@@ -52,9 +52,10 @@ def titles(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = TITLE_RULES
 
 def parse_records(df: DataFrame, column: str = "Extracted Data") -> DataFrame:
     """Title and Text of records stored as a dict literal; Title is null for a malformed one."""
-    parsed = F.from_json(
-        F.col(column), "Title string, Text string", {"allowSingleQuotes": "true", "mode": "PERMISSIVE"}
-    )
+    # A literal may hold \\xNN, which JSON does not know; a backslash that is itself escaped starts no escape.
+    plain = F.regexp_replace(F.col(column), r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true", "mode": "PERMISSIVE"}
+    parsed = F.from_json(plain, "Title string, Text string", options)
     return df.withColumn("_r", parsed).select("*", "_r.Title", "_r.Text").drop("_r")
 
 
@@ -70,15 +71,15 @@ def record_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
-def similar_to(df: DataFrame, anchor: Column, threshold: float = 0.25, column: str = "embedding") -> DataFrame:
-    """Rows whose inner product with the anchor vector reaches the threshold, best first."""
+def similar_to(df: DataFrame, anchor: Column, threshold: float = 0.25, column: str = "embedding", ties: Sequence[str] = ()) -> DataFrame:
+    """Rows whose inner product with the anchor vector reaches the threshold, best first, equal ones by ``ties``."""
     product = F.aggregate(
         F.zip_with(F.col(column), F.col("_anchor"), lambda a, b: a.cast("double") * b.cast("double")),
         F.lit(0.0),
         lambda s, x: s + x,
     )
     scored = df.withColumn("_anchor", anchor).withColumn("Score", product).drop("_anchor")
-    return scored.filter(F.col("Score") >= threshold).orderBy(F.desc("Score"))
+    return scored.filter(F.col("Score") >= threshold).orderBy(F.desc("Score"), *ties)
 
 
 def mentions(articles: DataFrame, text: str = "Text", person: str = PERSON) -> DataFrame:

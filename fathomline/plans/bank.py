@@ -238,7 +238,7 @@ def _(b: Bank) -> DataFrame:
 
 def _capitals(c: str) -> str:
     word = "upper(x[1]) || lower(x[2:])"
-    return f"array_to_string(list_transform(string_split({c}, ' '), lambda x: {word}), ' ') as {c}"
+    return rf"array_to_string(list_transform(regexp_extract_all({c}, '\p{{L}}+|[^\p{{L}}]+'), lambda x: {word}), '') as {c}"
 
 
 @query(

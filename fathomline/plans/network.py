@@ -11,8 +11,6 @@ from fathomline.plans.registry import query
 from fathomline.session import cut_lineage
 from fathomline.sources.fixtures import Bank
 
-ROUNDS = 3
-
 TWO_HOP_SQL = """
 select id_sender, id_receiver, name_sender, name_receiver, total_amount,
   case when hop = 1 then 1 else 0 end as label_first_upward, case when hop = 2 then 1 else 0 end as label_second_upward,
@@ -28,24 +26,32 @@ from (
     where name_sender is not null and name_receiver is not null group by all)) where hop is not null"""
 
 
-def _one_round(before: str) -> str:
-    return f"""
+# The same rule as a recursion: a round adds the state of all nodes as long as one of them wants another label.
+SETTLED_SQL = """
 select node, community from (
-  select n.src as node, l.community, row_number() over (partition by n.src order by count(*) desc, l.community) as rn
-  from pairs n join {before} l on l.node = n.dst group by n.src, l.community) where rn = 1
-union all select node, community from {before} where node not in (select src from pairs)"""
-
+  with recursive rounds(step, node, community, wants) as (
+    select 0, node, node, true from (select src as node from pairs union select dst from pairs)
+    union all
+    select step, node, case when wants and substr(md5(node || ':' || step), 1, 1) < '8' then label else community end, wants from (
+      select s.step + 1 as step, s.node, s.community, v.label, coalesce(v.n > coalesce(o.n, 0), false) as wants
+      from rounds s
+      left join (
+        select src, label, n from (
+          select p.src, r.community as label, count(*) as n, row_number() over (partition by p.src order by count(*) desc, r.community) as place
+          from pairs p join rounds r on r.node = p.dst group by 1, 2) q where place = 1) v on v.src = s.node
+      left join (
+        select p.src, count(*) as n from pairs p join rounds r on r.node = p.dst join rounds t on t.node = p.src
+        where r.community = t.community group by 1) o on o.src = s.node
+      where exists (select 1 from rounds w where w.wants)) x)
+  select node, community from rounds where step = (select max(step) from rounds)) y"""
 
 LPA_VIEWS = (
     ("pairs", "select distinct Source as src, Target as dst from edges"),
-    ("round0", "select distinct node, node as community from (select src as node from pairs union select dst from pairs)"),
-    ("round1", _one_round("round0")),
-    ("round2", _one_round("round1")),
-    ("round3", _one_round("round2")),
+    ("settled", SETTLED_SQL),
     ("upairs", "select distinct least(src, dst) as a, greatest(src, dst) as b from pairs where src <> dst"),
     (
         "members",
-        "select r.community, n.customer_id, n.name from round3 r join all_names n on n.customer_id = r.node",
+        "select r.community, n.customer_id, n.name from settled r join all_names n on n.customer_id = r.node",
     ),
     ("flagged", FLAGGED_SQL),
     ("rated", "select m.community, f.*, greatest(f.Risk, f.OS_Results) as Combined_Result from members m join flagged f using (customer_id, name)"),
@@ -57,7 +63,7 @@ def weighted_edges(b: Bank) -> DataFrame:
 
 
 def communities(b: Bank) -> DataFrame:
-    return graph.label_propagation(graph.digraph(weighted_edges(b)), ROUNDS)
+    return graph.label_propagation(graph.digraph(weighted_edges(b)))
 
 
 def members(b: Bank) -> DataFrame:
@@ -100,7 +106,7 @@ def _(b: Bank) -> DataFrame:
     return graph.ugraph(weighted_edges(b))
 
 
-@query("label_propagation", "select * from round3", LPA_VIEWS)
+@query("label_propagation", "select * from settled", LPA_VIEWS)
 def _(b: Bank) -> DataFrame:
     return communities(b)
 
@@ -115,14 +121,14 @@ select s.community, s.n, coalesce(i.m, 0) as m, coalesce(c.cut, 0) as cut,
   case when s.n > 1 then 2.0 * coalesce(i.m, 0) / (s.n * (s.n - 1)) else 0 end as density,
   case when t.d - coalesce(d.d, 0) > 0 then coalesce(d.d, 0) * 1.0 / (t.d - coalesce(d.d, 0)) else 0 end as expansion,
   case when t.d - coalesce(d.d, 0) > 0 then coalesce(c.cut, 0) * 1.0 / (2 * (t.d - coalesce(d.d, 0)) + coalesce(c.cut, 0)) else 0 end as conductance
-from (select community, count(*) as n from round3 group by 1) s
-left join (select x.community, count(*) as m from upairs u join round3 x on x.node = u.a join round3 y on y.node = u.b
+from (select community, count(*) as n from settled group by 1) s
+left join (select x.community, count(*) as m from upairs u join settled x on x.node = u.a join settled y on y.node = u.b
   where x.community = y.community group by 1) i on i.community = s.community
-left join (select r.community, count(*) as d from (select a as node from upairs union all select b from upairs) e join round3 r on r.node = e.node group by 1) d
+left join (select r.community, count(*) as d from (select a as node from upairs union all select b from upairs) e join settled r on r.node = e.node group by 1) d
   on d.community = s.community
 left join (select community, count(*) as cut from (
-    select x.community as community from upairs u join round3 x on x.node = u.a join round3 y on y.node = u.b where x.community <> y.community
-    union all select y.community from upairs u join round3 x on x.node = u.a join round3 y on y.node = u.b where x.community <> y.community)
+    select x.community as community from upairs u join settled x on x.node = u.a join settled y on y.node = u.b where x.community <> y.community
+    union all select y.community from upairs u join settled x on x.node = u.a join settled y on y.node = u.b where x.community <> y.community)
   group by 1) c on c.community = s.community, (select 2 * count(*) as d from upairs) t"""
 
 
@@ -198,7 +204,7 @@ def _(b: Bank) -> DataFrame:
 
 
 # The largest community of the check data; any node id would do.
-LARGEST_SQL = "(select community from round3 group by 1 order by count(*) desc, community limit 1)"
+LARGEST_SQL = "(select community from settled group by 1 order by count(*) desc, community limit 1)"
 
 
 def largest(found: DataFrame) -> str:
@@ -210,7 +216,7 @@ def largest(found: DataFrame) -> str:
     f"""select e.Source as src, e.Target as dst, e.total_transaction_amount as w, coalesce(s.name, e.Source) as src_label, coalesce(t.name, e.Target) as dst_label
     from edges e left join (select customer_id, min(name) as name from all_names group by 1) s on s.customer_id = e.Source
     left join (select customer_id, min(name) as name from all_names group by 1) t on t.customer_id = e.Target
-    where e.Source in (select node from round3 where community = {LARGEST_SQL}) or e.Target in (select node from round3 where community = {LARGEST_SQL})""",
+    where e.Source in (select node from settled where community = {LARGEST_SQL}) or e.Target in (select node from settled where community = {LARGEST_SQL})""",
     LPA_VIEWS,
     w=2,
 )

@@ -75,6 +75,12 @@ NEWS_VIEWS = (
 LINK_SQL = "select distinct url as link from pages where regexp_matches(url, '[0-9]{3}.{4}$')"
 
 
+# The references that occur in the pages, the ampersand last so that none is decoded twice.
+DECODED = "regexp_replace(x, '(?s)<.*?>', '', 'g')"
+for _name, _char in {"lt": "<", "gt": ">", "quot": '"', "copy": "©", "middot": "·", "nbsp": "\u00a0", "amp": "&"}.items():
+    DECODED = f"replace({DECODED}, '&{_name};', '{_char}')"
+
+
 @query("article_link_filter", LINK_SQL)
 def _(b: Bank) -> DataFrame:
     return news.article_links(b.table("pages").select(F.col("url").alias("link")))
@@ -82,8 +88,8 @@ def _(b: Bank) -> DataFrame:
 
 @query(
     "html_paragraphs",
-    r"""select page_id, array_to_string(list_transform(regexp_extract_all(html, '(?s)<p(?:\s[^>]*)?>(.*?)</p>', 1),
-      lambda x: regexp_replace(x, '(?s)<.*?>', '', 'g')), chr(10)) as Text from pages""",
+    rf"""select page_id, array_to_string(list_transform(regexp_extract_all(html, '(?is)<p(?:\s[^>]*)?>(.*?)</p\s*>', 1),
+      lambda x: {DECODED}), chr(10)) as Text from pages""",
 )
 def _(b: Bank) -> DataFrame:
     return news.article_text(b.table("pages")).select("page_id", "Text")
@@ -91,8 +97,7 @@ def _(b: Bank) -> DataFrame:
 
 def _h1(extra: str = r"(?:\s[^>]*)?") -> str:
     return (
-        f"array_to_string(list_transform(regexp_extract_all(html, '(?s)<h1{extra}>(.*?)</h1>', 1), "
-        "lambda x: regexp_replace(x, '(?s)<.*?>', '', 'g')), chr(10))"
+        f"array_to_string(list_transform(regexp_extract_all(html, '(?is)<h1{extra}>(.*?)</h1>', 1), lambda x: {DECODED}), chr(10))"
     )
 
 
@@ -109,9 +114,10 @@ def _(b: Bank) -> DataFrame:
 
 
 def records(b: Bank) -> DataFrame:
-    """Documents as dict literals; a quote in the text breaks the record, as in scraped data."""
+    """Documents as dict literals with some letters escaped; a quote in the text breaks the record, as in scraped data."""
     literal = F.concat(F.lit("{'Title': '"), F.col("source"), F.lit("', 'Text': '"), F.col("text"), F.lit("'}"))
     flat = F.regexp_replace(literal, "[\\r\\n\\t\\\\]", " ")
+    flat = F.replace(F.replace(flat, F.lit("é"), F.lit("\\xe9")), F.lit("ß"), F.lit("\\xdf"))
     return b.table("documents").select("doc_id", flat.alias("Extracted Data"))
 
 
@@ -141,7 +147,7 @@ def _(b: Bank) -> DataFrame:
 def _(b: Bank) -> DataFrame:
     vectors = b.table("embeddings")
     anchor = vectors.agg(F.min_by("embedding", "vec_id").alias("v")).scalar()
-    return news.similar_to(vectors, anchor).select("vec_id", "label", "Score")
+    return news.similar_to(vectors, anchor, ties=["vec_id"]).select("vec_id", "label", "Score")
 
 
 @query("person_mentions", "select Link, array_to_string(All_Names, '|') as names, len(All_Names) as n from answered", NEWS_VIEWS)

@@ -10,8 +10,13 @@ from fathomline.sources import schemas
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV with a declared schema; a byte order mark before the first header is ignored."""
-    return spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("escape", '"').csv(path)
+    """Headered CSV with a declared schema; a byte order mark before the first header is ignored.
+
+    A quoted field may hold line breaks, so a file is read by one task: large tables come as many files. A row that does
+    not fit the schema is an error, not a row of nulls.
+    """
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", True).option("escape", '"')
+    return reader.option("multiLine", True).option("lineSep", "\n").option("mode", "FAILFAST").csv(path)
 
 
 def raw_schema(name: str) -> T.StructType:
@@ -59,4 +64,5 @@ def write_csv(df: DataFrame, path: str, separator: str = ", ") -> None:
         else F.col(f"`{f.name}`")
         for f in df.schema
     ]
-    df.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    writer = df.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').option("lineSep", "\n")
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)

@@ -108,7 +108,7 @@ def test_two_hops_and_first_label(spark):
 
 def test_label_propagation_ties_and_sinks(spark):
     edges = spark.createDataFrame([("b", "a"), ("c", "a"), ("c", "b"), ("d", "c"), ("e", "z"), ("e", "y")], "src string, dst string")
-    out = {r.node: r.community for r in graph.label_propagation(edges, 3).collect()}
+    out = {r.node: r.community for r in graph.label_propagation(edges).collect()}
     assert out["a"] == "a" and out["b"] == "a" and out["c"] == "a" and out["d"] == "a" and out["e"] == "y"
 
 
