@@ -3,7 +3,9 @@
 An item with an error budget of e edits is split into e + 1 pieces: wherever the item occurs
 with at most e edits, one piece occurs unchanged. Documents are searched for all pieces
 at once, and every hit is verified with Myers' bit-parallel edit distance around it.
-Texts are compared as lower-case words joined by single blanks.
+Texts are compared as lower-case words joined by single blanks. Every place within the budget
+counts, also one that begins or ends inside a word; the reported span is widened to whole words.
+Only items too short for an edit must stand there as whole words: 'cat' is not in 'concatenate'.
 """
 
 from __future__ import annotations
@@ -90,7 +92,7 @@ class Items:
             self.automaton.make_automaton()
 
     def places(self, text: str) -> dict[int, tuple[int, int, int]]:
-        """item -> its best (distance, start, end) in a plain text, the leftmost of equals; matches begin and end at words."""
+        """item -> its best (distance, start, end) in a plain text, the leftmost of equals; items without a budget begin and end at words."""
         best: dict[int, tuple[int, int, int]] = {}
         if not self.items:
             return best
@@ -108,17 +110,17 @@ class Items:
                     low = max(0, start - most)
                     found = distance(item, text[low : start + len(item) + most], most)
                     found = found and (found[0], found[1] + low, found[2] + low)
-                if found and _whole(text, found[1], found[2]) and (i not in best or found < best[i]):
+                if found and (most or _whole(text, found[1], found[2])) and (i not in best or found < best[i]):
                     best[i] = found
         return best
 
 
 def _whole(text: str, start: int, end: int) -> bool:
-    return (start == 0 or text[start] == " " or text[start - 1] == " ") and (end == len(text) or text[end - 1] == " " or text[end] == " ")
+    return (start == 0 or text[start - 1] == " ") and (end == len(text) or text[end] == " ")
 
 
 def hits(text: str | None, items: Items) -> list[Hit]:
-    """All items in a text; starts and ends are code points of the original text."""
+    """All items in a text; starts and ends are code points of the original text, at whole words."""
     norm = plain(text)
     found = items.places(norm) if norm else {}
     if not found:
@@ -130,6 +132,7 @@ def hits(text: str | None, items: Items) -> list[Hit]:
         at += len(m.group().lower()) + 1
     out = []
     for i, (errors, start, end) in found.items():
+        start += norm[start] == " "
         first, last = bisect_right(begins, start) - 1, bisect_right(begins, end - 1) - 1
         out.append((items.items[i][0], spans[first][0], spans[last][1], errors))
     return sorted(out)

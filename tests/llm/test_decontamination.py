@@ -63,6 +63,35 @@ def test_edited_items_are_found_and_others_not(docs_of, benchmark):
     assert whole[3][0]["distance"] == 0 and whole[4][0]["item_id"] == 2 and whole[0] == []
 
 
+def test_every_item_within_the_budget_is_found():
+    r = random.Random(7)
+    item = "the quick brown fox jumps over the lazy dog"
+    assert d.budget(item) == 2
+    edited = [item + "s", "x" + item, item[:-1] + "x", "x" + item[1:], item[1:], item[:-1], "x" + item + "s", "xx" + item[2:], item[:-2] + "xx"]
+    for long in (prose(8, 25), prose(9, 40)):
+        for _ in range(150):
+            letters = list(long)
+            for _ in range(r.randrange(1, d.budget(long) + 2)):
+                at = r.choice([0, len(letters) - 1, r.randrange(len(letters))])
+                letters[at] = r.choice(["", "z", letters[at] + "q", "q" + letters[at]])
+                letters = list("".join(letters))
+            edited.append("".join(letters))
+    items = d.Items(list(enumerate([item, prose(8, 25), prose(9, 40)])))
+    for one in edited:
+        for text in (one, f"some {one} more", f"some{one}more"):
+            want = {i: e for i, body in items.items if (e := edit_in_text(body, d.plain(text))) <= d.budget(body)}
+            found = d.hits(text, items)
+            assert {i: e for i, _, _, e in found} == want, text
+            for _, start, end, _ in found:
+                assert (start == 0 or text[start - 1] == " ") and (end == len(text) or text[end] == " ") and text[start] != " "
+
+
+def test_items_without_a_budget_are_whole_words():
+    items = d.Items([(0, "cat"), (1, "a dog")])
+    assert d.hits("concatenate a dogma", items) == []
+    assert d.hits("concatenate Cat, a  dog", items) == [(0, 12, 15, 0), (1, 17, 23, 0)]
+
+
 def test_empty_tables(docs_of, benchmark, spark):
     assert d.find_leaks(docs_of([]), benchmark).count() == 0
     none = spark.createDataFrame([], "item_id int, text string")
