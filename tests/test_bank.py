@@ -249,4 +249,4 @@ def test_suffixes(spark):
 
 def test_display(spark):
     row = filters.present(spark.createDataFrame([("DR.ANN LEE", 1)], "Name string, label int")).first()
-    assert tuple(row) == ("Dr.ann Lee", "Yes")
+    assert tuple(row) == ("Dr.Ann Lee", "Yes")
