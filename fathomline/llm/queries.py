@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fathomline.llm import decontamination, exact_dedup, html_extraction, language, line_dedup, mixing, ngram_join, secrets, suffix_dedup, token_counts
+from fathomline.llm import (
+    decontamination,
+    exact_dedup,
+    hard_negatives,
+    html_extraction,
+    language,
+    line_dedup,
+    mixing,
+    ngram_join,
+    secrets,
+    suffix_dedup,
+    token_counts,
+    url_filter,
+    vector_codes,
+)
 from fathomline.llm.common import table
 
 
@@ -25,6 +39,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": _over(mixing.op8_mixing, "documents"),
     "op9_line_dedup": _over(line_dedup.op9_line_dedup, "documents"),
     "op10_decontamination": _over(decontamination.op10_decontamination, "documents", "benchmark"),
+    "op11_hard_negatives": _over(hard_negatives.op11_hard_negatives, "embeddings"),
+    "op12_vector_codes": _over(vector_codes.op12_vector_codes, "embeddings"),
+    "op13_url_filter": _over(url_filter.op13_url_filter, "pages"),
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": exact_dedup.OP6_SQL, "op9_line_dedup": line_dedup.OP9_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_dedup": exact_dedup.OP6_SQL,
+    "op9_line_dedup": line_dedup.OP9_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
+    "op12_vector_codes": vector_codes.OP12_SQL,
+}
