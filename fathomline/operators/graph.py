@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.operators.skew import HOT_ROWS, hot_keys, list_parts, spread_join
-from fathomline.session import cut_lineage
+from fathomline.session import AlternatingTables, cut_lineage
 
 
 def digraph(edges: DataFrame, weight: str = "Weight") -> DataFrame:
@@ -24,37 +24,52 @@ def _nodes(edges: DataFrame, a: str, b: str) -> DataFrame:
     return edges.select(F.explode(F.array(a, b)).alias("node")).distinct()
 
 
-def label_propagation(edges: DataFrame) -> DataFrame:
+def _votes(pairs: DataFrame, state: DataFrame, hot: list[int]) -> DataFrame:
+    """Per payer among ``pairs``: its out-neighbours' most frequent label, how many hold it (``n``), and how many its own (``kept``)."""
+    seen = spread_join(pairs, state.select(F.col("node").alias("_dst"), "community"), "dst", "_dst", "left", ["src"], hot)
+    votes = seen.groupBy("src", F.coalesce("community", "dst").alias("label")).agg(F.count(F.lit(1)).alias("n"))
+    # The own label stands for election with no vote, so one aggregate gives both counts; nodes without a pair here drop out again.
+    own = state.select(F.col("node").alias("src"), F.col("community").alias("label"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("own"))
+    stood = votes.withColumn("own", F.lit(False)).unionByName(own).groupBy("src", "label").agg(F.sum("n").alias("n"), F.max("own").alias("own"))
+    best = F.min(F.when(F.col("n") > 0, F.struct((-F.col("n")).alias("n"), "label")))
+    per = stood.groupBy("src").agg(best.alias("best"), F.max(F.when(F.col("own"), F.col("n"))).alias("kept")).filter("best is not null")
+    return per.select(F.col("src").alias("_node"), F.col("best.label").alias("_label"), (-F.col("best.n")).alias("_n"), F.coalesce("kept", F.lit(0)).alias("_kept"))
+
+
+def label_propagation(edges: DataFrame, patience: int = 8) -> DataFrame:
     """Communities by repeated majority vote of the out-neighbours, until no node wants another label.
 
     The vote goes to the most frequent label, the smallest of equals. A node wants it when it is more frequent among the
-    out-neighbours than its own label. Half of the nodes, drawn by a hash of node and round, may change in a round, so that
-    neighbours do not keep swapping labels. A node that pays nobody keeps its own id.
+    out-neighbours than its own label; after ``patience`` changes, each change asks for one more vote than the last. So a node changes
+    fewer than ``patience`` times plus the number of its out-neighbours, and every graph comes to an end, also one whose plain votes go
+    round for ever. Seven of eight nodes, drawn by a hash of node and round, may change in a round, so that neighbours do not keep
+    swapping labels. A node that pays nobody keeps its own id.
+
+    Only payers of a node that has just changed, and that node, vote anew. States are written in turn to two folders.
     """
     pairs = cut_lineage(edges.select(F.col("src"), F.col("dst")).distinct())
-    hot = hot_keys(pairs, "dst")
-    payers = hot_keys(pairs, "src")
-    labels = cut_lineage(pairs.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node")))
+    hot, payers = hot_keys(pairs, "dst"), hot_keys(pairs, "src")
+    steps = AlternatingTables(pairs.sparkSession)
+    start = pairs.select(F.col("src").alias("node")).distinct().withColumns({"community": F.col("node"), "changes": F.lit(0)})
+    first = _votes(pairs, start, hot).select(F.col("_node").alias("node"), F.col("_label").alias("label"), F.col("_n").alias("n"), F.col("_kept").alias("kept"))
+    state = steps.write(start.join(first, "node"))
+    wants = F.col("n") > F.col("kept") + F.greatest(F.col("changes") - patience, F.lit(0))
     step = 0
-    while True:
+    while not state.filter(wants).isEmpty():
         step += 1
-        seen = spread_join(pairs, labels.withColumnRenamed("node", "_dst"), "dst", "_dst", "left", ["src"], hot)
-        votes = seen.groupBy("src", F.coalesce("community", "dst").alias("label")).agg(F.count(F.lit(1)).alias("n"))
-        own = spread_join(votes, labels.select(F.col("node").alias("_src"), "community"), "src", "_src", "inner", ["label"], payers)
-        best = own.groupBy("src", "community").agg(
-            F.min(F.struct((-F.col("n")).alias("n"), "label")).alias("best"),
-            F.max(F.when(F.col("label") == F.col("community"), F.col("n"))).alias("kept"),
-        )
-        wants = -F.col("best.n") > F.coalesce("kept", F.lit(0))
-        turn = F.substring(F.md5(F.concat(F.col("src"), F.lit(f":{step}"))), 1, 1) < "8"
-        after = cut_lineage(
-            best.select(F.col("src").alias("node"), F.when(wants & turn, F.col("best.label")).otherwise(F.col("community")).alias("community"), wants.alias("wants"))
-        )
-        labels = after.drop("wants")
-        if not after.filter("wants").limit(1).count():
-            break
+        turn = F.substring(F.md5(F.concat(F.col("node"), F.lit(f":{step}"))), 1, 1) < "e"
+        moves = wants & turn
+        moved = state.filter(moves).select(F.col("node").alias("_moved"))
+        voters = spread_join(pairs, moved, "dst", "_moved", "left_semi", ["src"], hot).select("src").union(moved).distinct().toDF("_voter")
+        after = state.select(
+            "node", F.when(moves, F.col("label")).otherwise(F.col("community")).alias("community"),
+            (F.col("changes") + F.when(moves, 1).otherwise(0)).alias("changes"), "label", "n", "kept",
+        )
+        again = _votes(spread_join(pairs, voters, "src", "_voter", "left_semi", ["dst"], payers), after, hot)
+        placed = after.join(again, F.col("node") == F.col("_node"), "left")
+        state = steps.write(placed.select("node", "community", "changes", *[F.coalesce(f"_{c}", c).alias(c) for c in ("label", "n", "kept")]))
     nodes = _nodes(pairs, "src", "dst")
-    return cut_lineage(nodes.join(labels, "node", "left").select("node", F.coalesce("community", "node").alias("community")))
+    return cut_lineage(nodes.join(state.select("node", "community"), "node", "left").select("node", F.coalesce("community", "node").alias("community")))
 
 
 def modularity(edges: DataFrame, communities: DataFrame, weight: str = "w") -> DataFrame:

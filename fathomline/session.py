@@ -57,3 +57,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "step")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class AlternatingTables:
+    """Written states of an iteration: each goes to the folder that the last but one left, so an iteration of any length takes two."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self._paths = [scratch_path(spark, "state"), scratch_path(spark, "state")]
+
+    def write(self, df: DataFrame) -> DataFrame:
+        """The rows, read from their folder. They may depend on the last state, not on an earlier one."""
+        self._paths.reverse()
+        df.write.mode("overwrite").parquet(self._paths[0])
+        return df.sparkSession.read.schema(df.schema).parquet(self._paths[0])

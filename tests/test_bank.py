@@ -112,6 +112,58 @@ def test_label_propagation_ties_and_sinks(spark):
     assert out["a"] == "a" and out["b"] == "a" and out["c"] == "a" and out["d"] == "a" and out["e"] == "y"
 
 
+def circling():
+    """39 pairs on which plain votes go round for ever: three nodes in a ring, each turned by a gate that swaps two labels in passing."""
+    ring = ["v1", "v2", "v3"]
+    pairs, fixed = [], {}
+    for i, (w, p) in enumerate([("L1", "L3"), ("L2", "L1"), ("L3", "L2")]):
+        v, before = ring[i], ring[i - 1]
+        pairs += [(v, before), (v, f"f{i}"), (f"f{i}", before)]
+        for k, label in enumerate([w] * 3 + [p] * 2):
+            node = f"k{i}{k}"
+            fixed[node] = label
+            pairs += [(v, node), (node, label)]
+    return pairs
+
+
+def settled(pairs, patience=8):
+    """The rule in plain Python."""
+    from collections import Counter
+    from hashlib import md5
+
+    out = {}
+    for a, b in pairs:
+        out.setdefault(a, []).append(b)
+    label, changes, step = {n: n for p in pairs for n in p}, Counter(), 0
+    while True:
+        step += 1
+        wants = {}
+        for a, ends in out.items():
+            votes = Counter(label[b] for b in ends)
+            best = min(votes, key=lambda x: (-votes[x], x))
+            if votes[best] > votes[label[a]] + max(changes[a] - patience, 0):
+                wants[a] = best
+        if not wants:
+            return label
+        for a, best in wants.items():
+            if md5(f"{a}:{step}".encode()).hexdigest()[0] < "e":
+                label[a] = best
+                changes[a] += 1
+
+
+def random_pairs(seed, nodes, n):
+    import random
+
+    r = random.Random(seed)
+    return sorted({(f"n{r.randrange(nodes)}", f"n{min(r.randrange(nodes), r.randrange(nodes))}") for _ in range(n)})
+
+
+@pytest.mark.parametrize("pairs", [circling(), random_pairs(1, 30, 60), random_pairs(2, 60, 200)])
+def test_label_propagation_ends_and_equals_plain_python(spark, pairs):
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    assert {r.node: r.community for r in graph.label_propagation(edges).collect()} == settled(pairs)
+
+
 def test_louvain_finds_two_cliques(spark):
     clique = [(f"{g}{i}", f"{g}{j}", 1.0) for g in "pq" for i in range(5) for j in range(i + 1, 5)]
     edges = spark.createDataFrame([*clique, ("p0", "q0", 0.5)], "a string, b string, w double")
