@@ -95,79 +95,102 @@ def _community_ends(edges: DataFrame, communities: DataFrame) -> DataFrame:
     return spread_join(spread_join(edges, a, "a", "_a", "inner", ["b"], hot), b, "b", "_b", "inner", ["a"], hot)
 
 
-def _local_moves(edges: DataFrame, rounds: int, settled: float = 0.01) -> DataFrame:
-    """Move nodes to the neighbouring community with the best gain until few still want to.
+def _proposals(both: DataFrame, state: DataFrame, m2: float, hubs: list[int], large: list[int]) -> DataFrame:
+    """Per node its community, the weight it has there (``inner``), the community's degree, and the best move with its gain.
 
-    Nodes decide at the same time, so in each round only half of them (by a hash of node
-    and round) may move: two neighbours then do not keep swapping places.
+    The gain is that of modularity times m2 / 2, so a move with a positive gain, made alone, raises modularity.
+    """
+    totals = state.groupBy(F.col("community").alias("_c")).agg(F.sum("k").alias("_tot"))
+    placed = spread_join(state, totals, "community", "_c", "inner", ["node"], large).withColumnRenamed("_tot", "own_tot")
+    seen = spread_join(both, state.select("node", F.col("community").alias("to")), "v", "node", "inner", ["u"], hubs)
+    towards = spread_join(seen.groupBy("u", "to").agg(F.sum("w").alias("w_in")), totals, "to", "_c", "inner", ["u"], large)
+    info = spread_join(towards, placed, "u", "node", "inner", ["to"], hubs)
+    stays = F.col("to") == F.col("community")
+    worth = F.col("w_in") - F.col("_tot") * F.col("k") / m2
+    options = info.groupBy("u").agg(
+        F.min(F.when(~stays, F.struct((-worth).alias("loss"), F.col("to").alias("to")))).alias("best"),
+        F.max(F.when(stays, F.col("w_in"))).alias("inner"),
+    )
+    inner = F.coalesce("inner", F.lit(0.0))
+    gain = -F.col("best.loss") - (inner - (F.col("own_tot") - F.col("k")) * F.col("k") / m2)
+    joined = placed.join(options, F.col("node") == F.col("u"), "left")
+    return joined.select("node", "k", "community", "own_tot", inner.alias("inner"), F.col("best.to").alias("to"), F.coalesce(gain, F.lit(0.0)).alias("gain"))
+
+
+def _alone(wanted: DataFrame) -> DataFrame:
+    """Moves (node, to) that share no community: each is the best of all that leave or enter either of its two communities.
+
+    Degrees and weights they count with are touched by no other of them, so their gains add up. There always is one, the best of all.
+    """
+    rank = F.struct("gain", F.col("node").alias("by"))
+    claims = wanted.select(F.explode(F.array("community", "to")).alias("claimed"), rank.alias("rank"))
+    first = claims.groupBy("claimed").agg(F.max("rank").alias("rank"))
+    won = first.groupBy(F.col("rank.by").alias("by")).agg(F.count(F.lit(1)).alias("won")).filter("won = 2")
+    return wanted.join(won, F.col("node") == F.col("by"), "left_semi").select(F.col("node").alias("_node"), F.col("to").alias("_to"))
+
+
+def _local_moves(edges: DataFrame) -> DataFrame:
+    """Move nodes to the neighbouring community with the best gain until none gains by moving.
+
+    All nodes decide at the same time and half of them, drawn by a hash of node and round, move. If that has not raised modularity, it is taken
+    back and the moves that share no community are made instead, which always raises it. So modularity rises with
+    every round kept, no partition comes twice, and an end comes without a bound on rounds.
     """
     both = edges.filter("a <> b").select(
         F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v"), "w"), F.struct(F.col("b").alias("u"), F.col("a").alias("v"), "w"))).alias("x")
     ).select("x.*")
-    nodes = edges.select(F.explode(F.array("a", "b")).alias("node"), "w").groupBy("node").agg(F.sum("w").alias("k"))
-    nodes = cut_lineage(nodes)
+    nodes = cut_lineage(edges.select(F.explode(F.array("a", "b")).alias("node"), "w").groupBy("node").agg(F.sum("w").alias("k")))
     both = cut_lineage(both)
-    state = nodes.withColumn("community", F.col("node"))
-    m2 = nodes.agg(F.sum("k").alias("m2")).scalar()
+    sums = nodes.agg(F.sum("k").alias("m2"), F.count(F.lit(1)).alias("n")).first()
+    m2, many = sums.m2, sums.n > HOT_ROWS
+    if not m2:
+        return nodes.select("node", F.col("node").alias("community"))
     hubs = hot_keys(both, "v")
-    many = nodes.count() > HOT_ROWS
-    for step in range(rounds):
-        totals = state.groupBy(F.col("community").alias("_c")).agg(F.sum("k").alias("_tot"))
-        # Up to HOT_ROWS nodes no community can be hot.
-        large = hot_keys(state, "community") if many else []
-        placed = spread_join(state, totals, "community", "_c", "inner", ["node"], large).withColumnRenamed("_tot", "own_tot")
-        seen = spread_join(
-            both, state.select("node", F.col("community").alias("to")), "v", "node", "inner", ["u"], hubs
-        )
-        towards = seen.groupBy("u", "to").agg(F.sum("w").alias("w_in"))
-        towards = spread_join(towards, totals, "to", "_c", "inner", ["u"], large)
-        info = spread_join(towards, placed, "u", "node", "inner", ["to"], hubs)
-        stays = F.col("to") == F.col("community")
-        gain = F.col("w_in") - (F.col("_tot") - F.when(stays, F.col("k")).otherwise(0.0)) * F.col("k") / m2
-        options = info.withColumn("gain", gain).groupBy("u").agg(
-            F.min(F.when(~stays, F.struct((-F.col("gain")).alias("loss"), F.col("to").alias("to")))).alias("best"),
-            F.max(F.when(stays, F.col("gain"))).alias("kept"),
-        )
-        step_state = placed.join(options, F.col("node") == F.col("u"), "left")
-        kept = F.coalesce("kept", -(F.col("own_tot") - F.col("k")) * F.col("k") / m2)
-        turn = F.pmod(F.xxhash64("node", F.lit(step)), F.lit(2)) == 0
-        moves = F.coalesce(turn & (-F.col("best.loss") > kept + 1e-9), F.lit(False))
-        wants = F.coalesce(-F.col("best.loss") > kept + 1e-9, F.lit(False))
-        state = cut_lineage(
-            step_state.select("node", "k", F.when(moves, F.col("best.to")).otherwise(F.col("community")).alias("community"), wants.alias("wants"))
-        )
-        restless = state.agg(F.avg(F.col("wants").cast("double")).alias("share")).first()["share"] or 0.0
-        state = state.drop("wants")
-        if restless <= settled:
+    kept, score, step, careful = None, float("-inf"), 0, False
+    state = nodes.withColumn("community", F.col("node"))
+    while True:
+        step += 1
+        large = hot_keys(state, "community") if many else []  # up to HOT_ROWS nodes no community can be hot
+        found = cut_lineage(_proposals(both, state, m2, hubs, large))
+        # Modularity times m2, without loops: they stay inside whatever moves. own_tot over its nodes weighed by k sums up squares of degrees.
+        now = found.agg(F.sum(F.col("inner") - F.col("own_tot") * F.col("k") / m2)).first()[0]
+        if now > score + 1e-9 * abs(m2) or kept is None:
+            kept, score, careful = found, now, False
+        elif careful:  # gains no larger than rounding
             break
-    return state.select("node", "community")
+        else:
+            careful = True
+        wanted = kept.filter(F.col("gain") > 1e-9 * m2)
+        if wanted.isEmpty():
+            break
+        if careful:
+            chosen = _alone(wanted)
+        else:
+            chosen = wanted.filter(F.pmod(F.xxhash64("node", F.lit(step)), F.lit(2)) == 0).select(F.col("node").alias("_node"), F.col("to").alias("_to"))
+        moved = kept.join(chosen, F.col("node") == F.col("_node"), "left")
+        state = cut_lineage(moved.select("node", "k", F.coalesce("_to", "community").alias("community")))
+    return kept.select("node", "community")
+
 
+def louvain(edges: DataFrame) -> DataFrame:
+    """Modularity communities of a weighted undirected graph (a, b, w): local moves, then contraction, until a level moves nothing.
 
-def louvain(edges: DataFrame, rounds: int = 6, levels: int = 4, min_gain: float = 1e-4) -> DataFrame:
-    """Modularity communities of a weighted undirected graph (a, b, w): local moves, then contraction."""
+    Every level but the last joins communities, so there are at most as many levels as nodes; modularity rises with each.
+    """
     level = cut_lineage(edges.filter(F.col("w") > 0).select("a", "b", F.col("w").cast("double").alias("w")))
-    graph = level
-    members = cut_lineage(_nodes(graph, "a", "b")).withColumn("community", F.col("node"))
-    best = _score(graph, members)
-    for _ in range(levels):
-        moved = _local_moves(level, rounds)
+    members = cut_lineage(_nodes(level, "a", "b")).withColumn("community", F.col("node"))
+    while True:
+        moved = cut_lineage(_local_moves(level))
+        if moved.filter("node <> community").isEmpty():
+            return members
         step = moved.select(F.col("node").alias("_old"), F.col("community").alias("_new"))
         joined = spread_join(members, step, "community", "_old", "inner", ["node"])
-        candidate = cut_lineage(joined.select("node", F.col("_new").alias("community")))
-        score = _score(graph, candidate)
-        if score <= best + min_gain:
-            return candidate if score > best else members
-        members, best = candidate, score
+        members = cut_lineage(joined.select("node", F.col("_new").alias("community")))
         ends = _community_ends(level, moved)
         # Inner weight becomes a loop, which counts once in w and twice in a degree.
         level = cut_lineage(
             ends.groupBy(F.least("ca", "cb").alias("a"), F.greatest("ca", "cb").alias("b")).agg(F.sum("w").alias("w"))
         )
-    return members
-
-
-def _score(edges: DataFrame, members: DataFrame) -> float:
-    return modularity(edges, members).first()["modularity"] or 0.0
 
 
 def community_stats(pairs: DataFrame, communities: DataFrame) -> DataFrame:
