@@ -37,7 +37,7 @@ def fuzzy_match(
     needs no join; the best of equal scores is the first in the list.
     """
     if len(choices) > MAX_CHOICES:
-        raise ValueError(f"more than {MAX_CHOICES} choices: match against a table instead")
+        raise ValueError(f"more than {MAX_CHOICES} choices: use fuzzy_table_match")
     options = F.array(*[F.struct(F.lit(i).alias("pos"), F.lit(c).alias("choice")) for i, c in enumerate(choices)])
 
     def scored(option):
@@ -53,6 +53,87 @@ def fuzzy_match(
     return joined.withColumn("Label_Filtered_By_Occupations", F.col("closest_match").isNotNull().cast("int"))
 
 
+def _most_edits(length: Column, cutoff: float) -> Column:
+    """The most edits between a choice of that length and a text of any length that still reach the cutoff."""
+    return F.floor(length * ((100.0 - cutoff) / cutoff) + 1e-9).cast("int")
+
+
+def _piece(length: Column, edits: Column, i: Column) -> tuple[Column, Column]:
+    """Start (from 0) and length of piece ``i`` of ``edits + 1`` nearly equal pieces, the longer ones last."""
+    n = edits + 1
+    short = F.floor(length / n).cast("int")
+    first_long = n - (length % n)
+    return i * short + F.greatest(F.lit(0), i - first_long), short + (i >= first_long).cast("int")
+
+
+def _choice_pieces(choices: DataFrame, cutoff: float) -> DataFrame:
+    """(length, piece, part, choice key) of every piece of the choices."""
+    sized = choices.withColumns({"length": F.length("_y"), "edits": _most_edits(F.length("_y"), cutoff)})
+    each = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("edits"))))
+    start, size = _piece(F.col("length"), F.col("edits"), F.col("piece"))
+    return each.select("length", "piece", F.col("_y").substr(start + 1, size).alias("part"), "_y")
+
+
+def _text_pieces(texts: DataFrame, cutoff: float) -> DataFrame:
+    """(length, piece, part, text) of every part of a text that can be that piece of a choice of that length.
+
+    Edits before and after a piece add up to the most edits, so with i pieces before it the piece has moved by at most i
+    places, counted from the front, or by what is left, counted from the back.
+    """
+    share = cutoff / 100.0
+    lengths = F.sequence(F.ceil(F.length("_x") * share - 1e-9).cast("int"), F.floor(F.length("_x") / share + 1e-9).cast("int"))
+    sized = texts.withColumn("length", F.explode(lengths)).withColumn("edits", _most_edits(F.col("length"), cutoff))
+    each = sized.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("edits"))))
+    start, size = _piece(F.col("length"), F.col("edits"), F.col("piece"))
+    each = each.withColumns({"start": start, "size": size, "shift": F.length("_x") - F.col("length")})
+    left = F.col("edits") - F.col("piece")
+    low = F.greatest(F.lit(0), F.col("start") - F.col("piece"), F.col("start") + F.col("shift") - left)
+    high = F.least(F.length("_x") - F.col("size"), F.col("start") + F.col("piece"), F.col("start") + F.col("shift") + left)
+    places = each.withColumns({"low": low, "high": high}).filter("low <= high").withColumn("place", F.explode(F.sequence("low", "high")))
+    return places.select("length", "piece", F.col("_x").substr(F.col("place") + 1, F.col("size")).alias("part"), "_x").distinct()
+
+
+def edit_join(texts: DataFrame, choices: DataFrame, cutoff: float = 80.0) -> DataFrame:
+    """Pairs (_x, _y, score) of different prepared texts (column ``_x``) and choices (``_y``) with a fuzzy score of at least ``cutoff``.
+
+    A choice is cut into one piece more than the edits the cutoff allows for its length, so at least one piece is found unchanged in
+    any text close enough, near its place. Texts and choices meet on (length, piece number, piece) and the edit distance decides; frequent
+    pieces are spread. Nothing is compared with everything, and the list of choices has no bound. Null texts pair with nothing.
+    """
+    if not 50.0 < cutoff <= 100.0:
+        raise ValueError("a cutoff above 50 is needed, so that no piece is empty")
+    left = _text_pieces(texts.filter("_x is not null").select("_x").distinct(), cutoff)
+    right = _choice_pieces(choices.filter("_y is not null").select("_y").distinct(), cutoff)
+    keys = ["length", "piece", "part"]
+    right = right.withColumnsRenamed({k: f"_{k}" for k in keys})
+    met = spread_join(left, right, keys, [f"_{k}" for k in keys], "inner", ["_x"]).select("_x", "_y").distinct()
+    longest = F.greatest(F.length("_x"), F.length("_y"))
+    score = 100.0 * (1.0 - F.coalesce(F.try_divide(F.levenshtein("_x", "_y").cast("double"), longest.cast("double")), F.lit(0.0)))
+    return met.withColumn("score", score).filter(F.col("score") >= cutoff)
+
+
+def fuzzy_table_match(
+    df: DataFrame, choices: DataFrame, column: str = "Occupation", choice: str = "choice", cutoff: float = 80.0, token_sort: bool = False
+) -> DataFrame:
+    """As ``fuzzy_match`` against a table of any size; of equal scores the first choice in the order of the texts."""
+    values = df.select(F.col(column).alias("_value")).filter("_value is not null").distinct()
+    listed = choices.select(F.col(choice).alias("_choice")).filter("_choice is not null").distinct()
+
+    def pairs(prepared) -> DataFrame:
+        x, y = values.withColumn("_x", prepared(F.col("_value"))), listed.withColumn("_y", prepared(F.col("_choice")))
+        near = edit_join(x, y, cutoff).withColumnsRenamed({"_x": "_near_x", "_y": "_near_y"})
+        joined = near.join(x, F.col("_near_x") == F.col("_x")).join(y, F.col("_near_y") == F.col("_y"))
+        return joined.select("_value", "_choice", "score")
+
+    found = pairs(lambda c: F.lower(F.trim(c)))
+    if token_sort:
+        found = found.unionByName(pairs(sorted_words))
+    best = found.groupBy("_value").agg(F.min(F.struct((-F.col("score")).alias("loss"), "_choice")).alias("_best"))
+    best = best.select("_value", F.col("_best._choice").alias("closest_match"), (-F.col("_best.loss")).alias("match_score"))
+    joined = spread_join(df, best, column, "_value", "left")
+    return joined.withColumn("Label_Filtered_By_Occupations", F.col("closest_match").isNotNull().cast("int"))
+
+
 def common_names(offenders: DataFrame, names: DataFrame) -> DataFrame:
     """Offender names that are customer names too: upper case, without a title on the customer's side."""
     known = names.select(norm_name(F.col("name")).alias("_known")).distinct()

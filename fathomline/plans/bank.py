@@ -400,6 +400,25 @@ def _(b: Bank) -> DataFrame:
     return matching.fuzzy_match(b.kyc.select("cust_id", "Occupation"), FUZZY_CHOICES)
 
 
+TABLE_MATCH_SQL = """
+select cust_id, Occupation, choice as closest_match, score as match_score, case when choice is null then 0 else 1 end as Label_Filtered_By_Occupations
+from (select k.cust_id, k.Occupation, c.choice, c.score, row_number() over (partition by k.cust_id order by c.score desc nulls last, c.choice) as rn
+  from kyc k left join (
+    select occ, choice, 100.0 * (1.0 - levenshtein(lower(trim(occ)), lower(trim(choice))) * 1.0 / greatest(length(trim(occ)), length(trim(choice)))) as score
+    from (select distinct Occupation as occ from kyc), (select distinct p_name || ' ' || c_mktsegment || ' ' || c_custkey % 40 as choice
+      from part, customer where p_partkey = c_custkey union select distinct c_mktsegment || c_custkey % 40 from customer)
+  ) c on c.occ = k.Occupation and c.score >= 80) where rn = 1"""
+
+
+@query("fuzzy_occupation_table", TABLE_MATCH_SQL, match_score=4)
+def _(b: Bank) -> DataFrame:
+    customers, parts = b.table("customer"), b.table("part")
+    number = (F.col("c_custkey") % 40).cast("string")
+    long = parts.join(customers, F.col("p_partkey") == F.col("c_custkey")).select(F.concat_ws(" ", "p_name", "c_mktsegment", number).alias("choice"))
+    choices = long.union(customers.select(F.concat("c_mktsegment", number).alias("choice")))
+    return matching.fuzzy_table_match(b.kyc.select("cust_id", "Occupation"), choices)
+
+
 @query("sanctions_lookup", FLAGGED_SQL)
 def _(b: Bank) -> DataFrame:
     return _flagged(b).drop("community")

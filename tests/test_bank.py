@@ -343,3 +343,46 @@ def test_suffixes(spark):
 def test_display(spark):
     row = filters.present(spark.createDataFrame([("DR.ANN LEE", 1)], "Name string, label int")).first()
     assert tuple(row) == ("Dr.Ann Lee", "Yes")
+
+
+@pytest.mark.parametrize("cutoff", [60.0, 80.0, 95.0, 100.0])
+def test_edit_join_equals_all_pairs(spark, cutoff):
+    import random
+
+    r = random.Random(cutoff)
+    words = ["", "a", "ab", "aé", "clerk", "cleric", "clerks", "shop clerk", "x" * 30]
+    for _ in range(60):
+        w = list(r.choice(["import owner", "pet store owner", "zoo staff", "customs officer"]))
+        for _ in range(r.randrange(6)):
+            at = r.randrange(len(w))
+            w[at : at + r.randrange(2)] = r.choice(["", "e", "st", " "])
+        words.append("".join(w).strip())
+    texts, choices = [None, *words[::2], *words[:8]], [None, *words[1::2], *words[:8]]
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            row, last = [i], row
+            for k, y in enumerate(b, 1):
+                row.append(min(last[k] + 1, row[-1] + 1, last[k - 1] + (x != y)))
+        return row[-1]
+
+    want = set()
+    for a in filter(lambda t: t is not None, texts):
+        for b in filter(lambda t: t is not None, choices):
+            score = 100.0 * (1.0 - (distance(a, b) / max(len(a), len(b)) if a or b else 0.0))
+            if score >= cutoff:
+                want.add((a, b, round(score, 6)))
+    x = spark.createDataFrame([(t,) for t in texts], "_x string")
+    y = spark.createDataFrame([(t,) for t in choices], "_y string")
+    got = matching.edit_join(x, y, cutoff).collect()
+    assert len(got) == len(want) and {(g._x, g._y, round(g.score, 6)) for g in got} == want
+
+
+def test_table_match_ties_nulls_and_sorted_words(spark):
+    df = spark.createDataFrame([(1, " Clerk shop"), (2, None), (3, "clerkz"), (4, "pilot")], "id int, Occupation string")
+    choices = spark.createDataFrame([("Clerks",), ("CLERKY",), ("shop clerk",), (None,), ("shop clerk",)], "choice string")
+    plain = {r.id: (r.closest_match, r.Label_Filtered_By_Occupations) for r in matching.fuzzy_table_match(df, choices).collect()}
+    assert plain == {1: (None, 0), 2: (None, 0), 3: ("CLERKY", 1), 4: (None, 0)}
+    words = {r.id: r.closest_match for r in matching.fuzzy_table_match(df, choices, token_sort=True).collect()}
+    assert words[1] == "shop clerk"
