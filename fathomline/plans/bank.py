@@ -133,6 +133,25 @@ def _(b: Bank) -> DataFrame:
     return quality.fk_orphans(b.wire, "id_receiver", b.kyc, "cust_id")
 
 
+_BANK_SQL = {"kyc": "kyc", "kyc_with_open_sanctions": "kyc", "cash_trxns": "cash", "emt_trxns": "emt", "wire_trxns": "wire"}
+DECLARED = [quality.Key(t, (c,)) for t, c in schemas.KEYS.items()]
+DECLARED += [quality.Key(t, (c,), ("kyc", ("cust_id",))) for t, cs in schemas.FOREIGN_KEYS.items() for c in cs]
+
+
+def _key_sql(k: quality.Key) -> str:
+    (column,) = k.columns
+    bad = f"{column} not in (select cust_id from kyc)" if k.refers_to else "true"
+    having = "" if k.refers_to else f"having {column} is null or count(*) > 1"
+    return f"""select '{k}' as key, '{'foreign' if k.refers_to else 'primary'}' as kind, count(*) as bad_values, coalesce(sum(n), 0)::bigint as bad_rows
+      from (select {column}, count(*) as n from {_BANK_SQL[k.table]} where {bad} group by 1 {having})"""
+
+
+@query("declared_keys", " union all ".join(_key_sql(k) for k in DECLARED))
+def _(b: Bank) -> DataFrame:
+    tables_ = {"kyc": b.kyc, "kyc_with_open_sanctions": b.kyc_with_open_sanctions, "cash_trxns": b.cash, "emt_trxns": b.emt, "wire_trxns": b.wire}
+    return quality.check_keys(tables_, DECLARED)
+
+
 # ---- projection and filters --------------------------------------------------------------
 
 

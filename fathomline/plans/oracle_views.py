@@ -51,7 +51,7 @@ from transfers where status = 'P'"""
 
 ARTICLES = """
 select 'https://news.example/' || cast(doc_id as varchar) as Link, split_part(text, chr(10), 1) as Title, text as Text
-from documents where lang = 'en'"""
+from documents"""
 
 LEGS = """
 select id_sender as cust_id, id_receiver as other_id, 'wire' as ch, 'sent' as dir, wire_trxn_id as trxn_id,

@@ -150,9 +150,8 @@ class Bank:
 
     @cached_property
     def articles(self) -> DataFrame:
-        """English documents as news articles."""
-        docs = self.table("documents").filter(F.col("lang") == "en")
-        return docs.select(
+        """Documents as news articles."""
+        return self.table("documents").select(
             F.concat(F.lit("https://news.example/"), F.col("doc_id").cast("string")).alias("Link"),
             F.substring_index("text", "\n", 1).alias("Title"),
             F.col("text").alias("Text"),

@@ -44,6 +44,9 @@ KEYS = {
     "wire_trxns": "wire_trxn_id",
 }
 
+# Foreign keys, all of them to kyc.cust_id: table -> columns.
+FOREIGN_KEYS = {"cash_trxns": ("cust_id",), "emt_trxns": ("id_sender", "id_receiver"), "wire_trxns": ("id_sender", "id_receiver")}
+
 # Header of the raw files -> column of the declared table.
 RAW_HEADERS = {
     "kyc": {},

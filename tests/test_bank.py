@@ -386,3 +386,18 @@ def test_table_match_ties_nulls_and_sorted_words(spark):
     assert plain == {1: (None, 0), 2: (None, 0), 3: ("CLERKY", 1), 4: (None, 0)}
     words = {r.id: r.closest_match for r in matching.fuzzy_table_match(df, choices, token_sort=True).collect()}
     assert words[1] == "shop clerk"
+
+
+def test_all_declared_keys_in_one_pass(spark):
+    Key = quality.Key
+    kyc = spark.createDataFrame([("a",), ("b",), ("b",), (None,), (None,)], "cust_id string")
+    wire = spark.createDataFrame([(1, 1, "a", "x"), (1, 2, "x", "x"), (1, 2, None, "b"), (None, 3, "y", None)], "k int, l int, s string, r string")
+    to = ("kyc", ("cust_id",))
+    keys = [Key("kyc", ("cust_id",)), Key("wire", ("k", "l")), Key("wire", ("l",)), Key("wire", ("s",), to), Key("wire", ("r",), to), Key("kyc", ("cust_id",), ("wire", ("s",)))]
+    got = {r.key: tuple(r)[1:] for r in quality.check_keys({"kyc": kyc, "wire": wire}, keys).collect()}
+    assert got == {
+        "kyc(cust_id)": ("primary", 2, 4), "wire(k, l)": ("primary", 2, 3), "wire(l)": ("primary", 1, 2), "wire(s) -> kyc(cust_id)": ("foreign", 2, 2),
+        "wire(r) -> kyc(cust_id)": ("foreign", 1, 2), "kyc(cust_id) -> wire(s)": ("foreign", 1, 2),
+    }
+    empty = {r.key: r.bad_values for r in quality.check_keys({"kyc": kyc.limit(0), "wire": wire.limit(0)}, keys).collect()}
+    assert set(empty.values()) == {0} and len(empty) == 6
