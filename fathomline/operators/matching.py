@@ -134,6 +134,42 @@ def fuzzy_table_match(
     return joined.withColumn("Label_Filtered_By_Occupations", F.col("closest_match").isNotNull().cast("int"))
 
 
+def words_of(text: Column) -> Column:
+    """Words in upper case: runs of letters and digits. A text without one has no words."""
+    flat = F.trim(F.regexp_replace(F.upper(text), r"[^\p{L}\p{N}]+", " "))
+    return F.when(flat != "", F.split(flat, " "))
+
+
+def names_in_texts(texts: DataFrame, names: DataFrame, key: str = "Link", text: str = "Text", name: str = "name") -> DataFrame:
+    """Distinct (key, customer_id, name) of every known name that stands in a text as whole words, whatever its case and punctuation.
+
+    Names have few lengths, counted in words. For each length the different runs of that many words of a text meet the names of that
+    length by equality, so a text is read once, nothing is searched name by name, and the list of names has no bound; a run in very many texts
+    ("hot" names) is spread. A name inside a longer one is found as well. Null and empty names and texts find nothing.
+    """
+    known = names.select("customer_id", F.col(name).alias("name"), words_of(norm_name(F.col(name))).alias("_w")).filter("_w is not null")
+    phrases = known.select("customer_id", "name", F.array_join("_w", " ").alias("_phrase"), F.size("_w").alias("_n")).distinct()
+    lengths = sorted(r[0] for r in phrases.select("_n").distinct().collect())  # of names, in words
+    empty = F.array().cast("array<string>")
+
+    def runs(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.size("_words") - (n - 1))
+        return F.when(F.size("_words") >= n, F.transform(places, lambda i: F.array_join(F.slice("_words", i, n), " "))).otherwise(empty)
+
+    if not lengths:
+        return phrases.select(F.lit(None).cast(texts.schema[key].dataType).alias(key), "customer_id", "name").limit(0)
+    worded = texts.select(F.col(key).alias("_key"), words_of(F.col(text)).alias("_words")).filter("_words is not null")
+    found = worded.select("_key", F.explode(F.array_distinct(F.concat(*[runs(n) for n in lengths]))).alias("_run"))
+    hits = spread_join(found, phrases.drop("_n"), "_run", "_phrase", "inner", ["_key"])
+    return hits.select(F.col("_key").alias(key), "customer_id", "name").distinct()
+
+
+def named_share(hits: DataFrame, texts: DataFrame, key: str = "Link") -> DataFrame:
+    """Customers by the number of texts that name them, and the share of all texts."""
+    total = texts.agg(F.count_distinct(key).alias("total")).scalar()
+    return hits.groupBy("customer_id").agg(F.count_distinct(key).alias("texts")).withColumn("share", F.col("texts") / total)
+
+
 def common_names(offenders: DataFrame, names: DataFrame) -> DataFrame:
     """Offender names that are customer names too: upper case, without a title on the customer's side."""
     known = names.select(norm_name(F.col("name")).alias("_known")).distinct()

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.functions import text
-from fathomline.operators import filters, news
+from fathomline.operators import filters, matching, news
 from fathomline.plans.registry import query
 from fathomline.session import cut_lineage, scratch_path
 from fathomline.sources import tables
@@ -217,6 +217,45 @@ def _(b: Bank) -> DataFrame:
     return news.found_offenders(offender_table(b), known_people(b))
 
 
+def _norm_sql(column: str) -> str:
+    return rf"trim(regexp_replace(upper({column}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))"
+
+
+STRIPPED_SQL = r"case when regexp_matches(upper(name), '^(DR\.|MR\.|MRS\.)') then trim(regexp_replace(upper(name), '^(DR\.|MR\.|MRS\.)', '')) else upper(name) end"
+NEWS_SQL = """
+select 'https://news.example/' || cast(d.doc_id as varchar) as Link,
+       case when l.line is not null then coalesce(d.text, '') || chr(10) || 'Police named: ' || l.line || '.' else d.text end as Text
+from documents d left join (
+  select doc_id, string_agg(name, ', and (' order by name) as line from (
+    select distinct w.doc_id, lower(k.Name) as name from (
+      select doc_id, unnest([doc_id % n, (doc_id * 31 + 7) % n]) as who from documents, (select count(*) as n from customer) where doc_id % 3 = 0) w
+    join kyc k on k.cust_id = 'CUST' || lpad(cast(w.who as varchar), 8, '0')) group by doc_id) l using (doc_id)"""
+CUSTOMER_VIEWS = (
+    ("customer_news", NEWS_SQL),
+    ("hits", f"""select distinct t.Link, n.customer_id, n.name from (select Link, ' ' || {_norm_sql('Text')} || ' ' as words from customer_news) t,
+      (select customer_id, name, {_norm_sql(STRIPPED_SQL)} as phrase from all_names) n where n.phrase <> '' and contains(t.words, ' ' || n.phrase || ' ')"""),
+)
+
+
+def customer_hits(b: Bank) -> DataFrame:
+    return matching.names_in_texts(b.customer_news, matching.all_names(b.kyc, b.emt, b.wire))
+
+
+@query("customers_in_news", "select * from hits", CUSTOMER_VIEWS)
+def _(b: Bank) -> DataFrame:
+    return customer_hits(b)
+
+
+@query(
+    "customer_news_share",
+    "select customer_id, count(distinct Link) as texts, count(distinct Link) * 1.0 / (select count(distinct Link) from customer_news) as share from hits group by 1",
+    CUSTOMER_VIEWS,
+    share=8,
+)
+def _(b: Bank) -> DataFrame:
+    return matching.named_share(customer_hits(b), b.customer_news)
+
+
 @query("manual_check_rate", f"select count(*) as n, avg(case when length(Criminal) > 3 then 1.0 else 0.0 end) as precision from ({FOUND_SQL})", NEWS_VIEWS, precision=6)
 def _(b: Bank) -> DataFrame:
     found = news.found_offenders(offender_table(b), known_people(b))

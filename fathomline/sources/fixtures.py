@@ -156,3 +156,19 @@ class Bank:
             F.substring_index("text", "\n", 1).alias("Title"),
             F.col("text").alias("Text"),
         )
+
+    @cached_property
+    def customer_news(self) -> DataFrame:
+        """Articles, every third with a closing line on one or two customers."""
+        customers = self.table("customer").agg(F.count(F.lit(1)).alias("n")).scalar()
+        who = self.kyc.select(F.col("cust_id").alias("_id"), F.col("Name").alias("_name"))
+        docs = self.table("documents").select("doc_id", "text").withColumn("n", customers)
+        named = docs.filter("doc_id % 3 = 0").withColumn("_who", F.explode(F.expr("array(doc_id % n, (doc_id * 31 + 7) % n)")))
+        named = named.select("doc_id", F.expr(customer_code("_who")).alias("_id")).join(who, "_id")
+        lines = named.groupBy("doc_id").agg(F.array_join(F.sort_array(F.collect_set(F.lower("_name"))), ", and (").alias("line"))
+        told = docs.join(lines, "doc_id", "left")
+        return told.select(
+            F.concat(F.lit("https://news.example/"), F.col("doc_id").cast("string")).alias("Link"),
+            F.when(F.col("line").isNotNull(), F.concat(F.coalesce("text", F.lit("")), F.lit("\nPolice named: "), "line", F.lit(".")))
+            .otherwise(F.col("text")).alias("Text"),
+        )

@@ -401,3 +401,18 @@ def test_all_declared_keys_in_one_pass(spark):
     }
     empty = {r.key: r.bad_values for r in quality.check_keys({"kyc": kyc.limit(0), "wire": wire.limit(0)}, keys).collect()}
     assert set(empty.values()) == {0} and len(empty) == 6
+
+
+def test_known_names_in_texts(spark):
+    texts = [
+        (1, "Yesterday ann-lee (of O'Hara Ltd.) met Dr. Smith."), (2, None), (3, ""), (4, "JOANN LEE, Ann; Lee Annlee"), (5, "Ann Lee Smith! ann lee"),
+        (6, "émile Zoë saw 42"), (7, "lee"), (1, "a second text of one: bob 7"),
+    ]
+    names = [("c1", "Dr.Ann Lee"), ("c2", "Ann Lee Smith"), ("c3", "Émile  zoë"), ("c4", None), ("c5", " ."), ("c6", "MR.42"), ("c7", "O'Hara"), ("c8", "Bob 7"), ("c9", "ANN LEE"), ("c9", "ANN LEE")]
+    df = spark.createDataFrame(texts, "Link int, Text string")
+    got = {(r.Link, r.customer_id) for r in matching.names_in_texts(df, spark.createDataFrame(names, "customer_id string, name string")).collect()}
+    assert got == {(1, "c1"), (1, "c9"), (1, "c7"), (1, "c8"), (4, "c1"), (4, "c9"), (5, "c1"), (5, "c2"), (5, "c9"), (6, "c3"), (6, "c6")}
+    nobody = spark.createDataFrame([("c4", None), ("c5", "!")], "customer_id string, name string")
+    assert matching.names_in_texts(df, nobody).collect() == []
+    share = matching.named_share(matching.names_in_texts(df, spark.createDataFrame(names, "customer_id string, name string")), df)
+    assert {r.customer_id: (r.texts, round(r.share, 4)) for r in share.collect()}["c9"] == (3, round(3 / 7, 4))
