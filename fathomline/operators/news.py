@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ast
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -50,22 +51,53 @@ def titles(pages: DataFrame, rules: Sequence[tuple[str, str, str]] = TITLE_RULES
     return pages.withColumn("Title", title)
 
 
+# A record of two plain strings, no escapes and nothing unusual: these need no Python.
+_PLAIN = r"""^\{'Title': '([^'\\\r\n\x00]*)', 'Text': '([^'\\\r\n\x00]*)'\}$"""
+
+
+def literal_fields(text: str) -> tuple[bool, str | None, str | None]:
+    """Whether a text is a Python literal of a dict with both fields, and the fields as texts, None as null."""
+    try:
+        record = ast.literal_eval(text)
+        fields = [record[name] for name in ("Title", "Text")]
+    except (SyntaxError, TypeError, ValueError, KeyError, IndexError, MemoryError, RecursionError):
+        return False, None, None
+    # Lone surrogates of an escape have no UTF-8 form.
+    return True, *[None if f is None else str(f).encode("utf-8", "replace").decode() for f in fields]
+
+
+def _literal_reader():
+    @F.pandas_udf("struct<ok: boolean, Title: string, Text: string>")
+    def read(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(None, None, None) if t is None else literal_fields(t) for t in texts], columns=["ok", "Title", "Text"])
+
+    return read
+
+
 def parse_records(df: DataFrame, column: str = "Extracted Data") -> DataFrame:
-    """Title and Text of records stored as a dict literal; Title is null for a malformed one."""
-    # A literal may hold \\xNN, which JSON does not know; a backslash that is itself escaped starts no escape.
-    plain = F.regexp_replace(F.col(column), r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
-    options = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true", "mode": "PERMISSIVE"}
-    parsed = F.from_json(plain, "Title string, Text string", options)
-    return df.withColumn("_r", parsed).select("*", "_r.Title", "_r.Text").drop("_r")
+    """Title, Text and ``Parsed`` of records stored as the text of a dict; Parsed is false for a malformed one and for null.
+
+    What Python reads as a literal is well-formed: either kind of quotes, adjacent strings, escapes, a comma at the end, further
+    fields, None. Records of two plain strings are read by a pattern; only the others are sent to Python, in Arrow batches.
+    """
+    text = F.col(f"`{column}`")
+    marked = df.withColumn("_plain", F.coalesce(text.rlike(_PLAIN), F.lit(False)))
+    read = marked.withColumn("_r", _literal_reader()(F.when(~F.col("_plain"), text)))
+
+    def field(name: str, group: int) -> Column:
+        return F.when(F.col("_plain"), F.regexp_extract(text, _PLAIN, group)).otherwise(F.col(f"_r.{name}"))
+
+    parsed = F.col("_plain") | F.coalesce(F.col("_r.ok"), F.lit(False))
+    return read.select(*[F.col(f"`{c}`") for c in df.columns], field("Title", 1).alias("Title"), field("Text", 2).alias("Text"), parsed.alias("Parsed"))
 
 
 def good_records(parsed: DataFrame) -> DataFrame:
-    return parsed.filter(F.col("Title").isNotNull() & F.col("Text").isNotNull())
+    return parsed.filter("Parsed")
 
 
 def record_counts(parsed: DataFrame) -> DataFrame:
     """Number of records, of well-formed and of malformed ones."""
-    good = F.col("Title").isNotNull() & F.col("Text").isNotNull()
+    good = F.col("Parsed")
     return parsed.agg(
         F.count(F.lit(1)).alias("total"), F.count(F.when(good, 1)).alias("successful"), F.count(F.when(~good, 1)).alias("failed")
     )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fathomline.functions import scalar, text
-from fathomline.operators import encode, evaluate, explore, features, filters, flow, graph, joins, matching, quality, risk, stats
+from fathomline.operators import encode, evaluate, explore, features, filters, flow, graph, joins, matching, news, quality, risk, stats
 from fathomline.sources import schemas, tables
 
 KYC = [
@@ -416,3 +416,23 @@ def test_known_names_in_texts(spark):
     assert matching.names_in_texts(df, nobody).collect() == []
     share = matching.named_share(matching.names_in_texts(df, spark.createDataFrame(names, "customer_id string, name string")), df)
     assert {r.customer_id: (r.texts, round(r.share, 4)) for r in share.collect()}["c9"] == (3, round(3 / 7, 4))
+
+
+def test_literal_records_as_python_reads_them(spark):
+    import ast
+
+    texts = [
+        None, "", "{}", "[]", "{'Title': 'a', 'Text': 'b'}", "{'Title': '', 'Text': ''}", "{'Title': 'a', 'Text': None}", "{'Title': 'a' 'b', 'Text': 'c'}",
+        "{'Title': 'a', 'Text': 'b',}", "{'Title': '\\U0001F600 \\xe9 \\u00df', 'Text': 'x\\\\xe9'}", '{"Title": "it\'s", "Text": \'say "x"\'}', "{'Text': 'b', 'Title': 'a', 'n': [1, {}]}",
+        "{'Title': 'it's', 'Text': 'b'}", "{'Title': 'a'}", "{'Title': 'a', 'Text': 'b'", "{'Title': 'a', 'Text': 'b\nc'}", "{'Title': 'a', 'Text': \'\'\'b\nc\'\'\'}", " {'Title': 1, 'Text': 2.5}",
+        "{'Title': 'a', 'Text': open('x')}", "{'Title': r'\\d', 'Text': b'b'}", "{'Title': 'a', 'Text': 'b'} # end", "{'Title': 'é', 'Text': '" + "long " * 50_000 + "'}", "[" * 500,
+    ]
+    rows = news.parse_records(spark.createDataFrame(list(enumerate(texts)), "id int, `Extracted Data` string")).collect()
+    for r in rows:
+        try:
+            record = ast.literal_eval(texts[r.id])
+            want = (*[None if record[f] is None else str(record[f]) for f in ("Title", "Text")], True)
+        except Exception:
+            want = (None, None, False)
+        assert (r.Title, r.Text, r.Parsed) == want, texts[r.id]
+    assert sum(r.Parsed for r in rows) == 13
