@@ -2,32 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fathomline.operators.skew import running_totals
 
 
-def _by_score(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Positives and negatives per distinct score, with the totals of all smaller scores."""
+def _by_score(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Positives and negatives per distinct score, with the totals of all smaller scores, each group on its own."""
     rows = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-    counts = rows.groupBy(F.col(score).cast("double").alias("score")).agg(
+    counts = rows.groupBy(*by, F.col(score).cast("double").alias("score")).agg(
         F.sum((F.col(label) == 1).cast("long")).alias("pos"), F.sum((F.col(label) != 1).cast("long")).alias("neg")
     )
-    return running_totals(counts, "score", ["pos", "neg"])
+    return running_totals(counts, "score", ["pos", "neg"], by)
 
 
-def auc(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Exact area under the ROC curve; ties count half, null with only one class.
+def auc(df: DataFrame, label: str, score: str, by: Sequence[str] = ()) -> DataFrame:
+    """Exact area under the ROC curve, of each group if any are named; ties count half, null with only one class.
 
     A positive beats every negative with a smaller score: the rank sum, without ranking rows.
     """
     wins = F.col("pos") * (F.col("before_neg") + F.col("neg") / F.lit(2).cast("double"))
-    sums = _by_score(df, label, score).agg(
+    sums = _by_score(df, label, score, by).groupBy(*by).agg(
         F.sum(wins).alias("wins"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg")
     )
     pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
-    return sums.select(F.try_divide(F.col("wins"), pairs).alias("auc"), "n_pos", "n_neg")
+    return sums.select(*by, F.try_divide(F.col("wins"), pairs).alias("auc"), "n_pos", "n_neg")
 
 
 def roc(df: DataFrame, label: str, score: str) -> DataFrame:

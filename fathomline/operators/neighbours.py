@@ -111,31 +111,37 @@ def knn(points: DataFrame, k: int, cell: int = CELL, pivots: int = PIVOTS, queri
 
 
 def smote(df: DataFrame, label: str, columns: Sequence[str], id_col: str, k: int = 5, seed: int = 0) -> DataFrame:
-    """All rows plus synthetic minority rows up to the size of the majority.
+    """All rows plus synthetic rows of every smaller class, up to the size of the largest.
 
-    A synthetic row lies between a minority row and one of its k nearest minority rows.
-    Row, neighbour and place come from hashes of its number.
+    A synthetic row lies between a row of its class and one of its k nearest rows of that class. Row, neighbour and place come from
+    hashes of its number. A class of a single row is filled with copies of it. Rows without a label stay and are no class.
     """
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    major = min(counts, key=lambda c: (-counts[c], c))
-    minor = min(c for c in counts if c != major)
-    missing = counts[major] - counts[minor]
+    labelled = df.filter(F.col(label).isNotNull())
+    counts = {r[label]: r["n"] for r in labelled.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}  # a row a class
     rows = df.select(F.col(id_col).cast("string").alias("id"), F.col(label), F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in columns]).alias("v"))
-    pool = cut_lineage(hash_rank(rows.filter(F.col(label) == minor), "id", seed, [], "rank"))
+    both = rows.select(F.col("id").alias(id_col), label, "v", F.lit(0).alias("synthetic"))
+    most, first = max(counts.values(), default=0), 0
+    for c in sorted(c for c in counts if counts[c] < most):
+        made = _synthetic(rows.filter(F.col(label) == c), first, most - counts[c], counts[c], k, seed)
+        both = both.unionByName(made.select(F.col("id").alias(id_col), F.lit(c).cast(df.schema[label].dataType).alias(label), "v", F.lit(1).alias("synthetic")))
+        first += most - counts[c]
+    return both.select(id_col, label, *[F.col("v")[i].alias(c) for i, c in enumerate(columns)], "synthetic")
+
+
+def _synthetic(rows: DataFrame, first: int, missing: int, held: int, k: int, seed: int) -> DataFrame:
+    """``missing`` rows (id, v) between the ``held`` rows of one class, numbered from ``first``."""
+    pool = cut_lineage(hash_rank(rows, "id", seed, [], "rank"))
     near = knn(pool.select("id", "v"), k)
 
     def draw(name: str):
         text = F.concat(F.col("draw").cast("string"), F.lit(f":{name}:{seed}"))
         return F.conv(F.substring(F.md5(text), 1, 12), 16, 10).cast("long")
 
-    draws = df.sparkSession.range(missing).withColumnRenamed("id", "draw")
-    picked = draws.withColumns({"pick": F.pmod(draw("row"), F.lit(counts[minor])) + 1, "u": draw("place") / F.lit(float(16**12))})
-    base = picked.join(pool.select("id", "rank", "v"), F.col("pick") == F.col("rank")).join(near, "id")
-    chosen = base.filter(F.size("found") > 0).withColumn("other", F.get(F.col("found"), F.pmod(draw("near"), F.size("found")).cast("int"))["id"])
-    ends = chosen.join(pool.select(F.col("id").alias("other"), F.col("v").alias("w")), "other")
+    draws = rows.sparkSession.range(first, first + missing).withColumnRenamed("id", "draw")
+    picked = draws.withColumns({"pick": F.pmod(draw("row"), F.lit(held)) + 1, "u": draw("place") / F.lit(float(16**12))})
+    base = picked.join(pool.select("id", "rank", "v"), F.col("pick") == F.col("rank")).join(near, "id", "left")
+    some = F.coalesce(F.size("found"), F.lit(0)) > 0
+    other = F.when(some, F.get(F.col("found"), F.pmod(draw("near"), F.greatest(F.size("found"), F.lit(1))).cast("int"))["id"]).otherwise(F.col("id"))
+    ends = base.withColumn("other", other).join(pool.select(F.col("id").alias("other"), F.col("v").alias("w")), "other")
     mixed = F.zip_with("v", "w", lambda a, b: a + F.col("u") * (b - a))
-    made = ends.select(F.concat(F.lit("synthetic-"), F.col("draw").cast("string")).alias(id_col), F.lit(minor).alias(label), mixed.alias("v"))
-    both = rows.select(F.col("id").alias(id_col), label, "v", F.lit(0).alias("synthetic")).unionByName(
-        made.withColumn("synthetic", F.lit(1))
-    )
-    return both.select(id_col, label, *[F.col("v")[i].alias(c) for i, c in enumerate(columns)], "synthetic")
+    return ends.select(F.concat(F.lit("synthetic-"), F.col("draw").cast("string")).alias("id"), mixed.alias("v"))

@@ -215,7 +215,7 @@ def _(b: Bank) -> DataFrame:
 def _(b: Bank) -> DataFrame:
     train, test = _halves(view(b))
     model = models.fit(train, models.tree())
-    drops = models.permutation_drop(model, test, ["Occupation", "Age", "cash_balance"])
+    drops = models.permutation_drop(model, test)
     return models.importances(model, train).join(drops, "feature", "left")
 
 

@@ -80,3 +80,23 @@ def test_answers_and_matching(spark):
     df = spark.createDataFrame([("l", "t", "Police said John Smith met Ann Lee. The man charged was Ann Lee of Rome City.")], "Link string, Title string, Text string")
     found = news.match_answers(news.answers(news.mentions(df))).first()
     assert found.Criminal == "Ann Lee"
+
+
+def test_permutation_drop_of_all_columns_in_one_pass(spark):
+    import random
+
+    from fathomline.operators.skew import hash_rank
+
+    r = random.Random(3)
+    data = [(f"c{i}", r.choice("xyz"), float(r.randrange(10)), r.randrange(50), 0) for i in range(300)]
+    data = [(i, s, a, n, int(a + (s == "x") * 3 + r.random() > 6)) for i, s, a, n, _ in data]
+    df = spark.createDataFrame(data, "cust_id string, s string, a double, n int, label int")
+    model = models.fit(df, models.tree(maxDepth=4))
+    got = {x.feature: x.auc_drop for x in models.permutation_drop(model, df).collect()}
+    whole = models.auc_of(models.score(model, df))
+    assert set(got) == {"s", "a", "n"}
+    for c in got:  # one column at a time
+        given = hash_rank(df.select("cust_id", c), "cust_id", 2, [], "there").select("there", F.col(c).alias("given"))
+        mixed = hash_rank(df, "cust_id", 1, [], "here").join(given, F.col("here") == F.col("there")).withColumn(c, F.col("given"))
+        assert got[c] == pytest.approx(whole - models.auc_of(models.score(model, mixed.select(*df.columns))), abs=1e-12)
+    assert got["a"] > got["s"] > 0.01

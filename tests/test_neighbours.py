@@ -46,3 +46,15 @@ def test_smote_rows_lie_between_neighbours(spark):
             for j in near[i]
         ]
         assert min(gaps) < 1e-9
+
+
+def test_smote_fills_every_class(spark):
+    rows = [(f"a{i}", "a", float(i), 0.0) for i in range(20)] + [(f"b{i}", "b", 100.0 + i, 1.0) for i in range(7)]
+    rows += [("c0", "c", 500.0, 2.0), ("n0", None, 9.0, 9.0), ("n1", None, None, 9.0)]
+    df = spark.createDataFrame(rows, "id string, label string, x double, y double")
+    out = neighbours.smote(df, "label", ["x", "y"], "id", k=3).toPandas()
+    assert out.groupby("label").size().to_dict() == {"a": 20, "b": 20, "c": 20} and out["label"].isna().sum() == 2
+    assert out["id"].is_unique and len(out) == 62
+    b, c = (out[(out["label"] == x) & (out["synthetic"] == 1)] for x in "bc")
+    assert b["x"].between(100, 106).all() and (c["x"] == 500).all() and (c["y"] == 2).all()
+    assert neighbours.smote(df.limit(0), "label", ["x", "y"], "id").count() == 0
