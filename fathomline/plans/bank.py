@@ -696,14 +696,17 @@ def _(b: Bank) -> DataFrame:
     return explore.value_counts(explore.repeated(b.kyc, "Name"), "label")
 
 
+DIMENSIONS = 64  # of the embeddings
+
+
 @query(
     "cluster_profile",
-    "select label, count(*) as n, " + ", ".join(f"avg(embedding[{i + 1}]::double) as e{i}" for i in range(8)) + " from embeddings group by 1",
-    **{f"e{i}": 6 for i in range(8)},
+    "select label, count(*) as n, " + ", ".join(f"avg(embedding[{i + 1}]::double) as e{i}" for i in range(DIMENSIONS)) + " from embeddings group by 1",
+    **{f"e{i}": 6 for i in range(DIMENSIONS)},
 )
 def _(b: Bank) -> DataFrame:
-    wide = b.table("embeddings").select("label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(8)])
-    return explore.group_means(wide, "label", [f"e{i}" for i in range(8)])
+    wide = b.table("embeddings").select("label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(DIMENSIONS)])
+    return explore.group_means(wide, "label", [f"e{i}" for i in range(DIMENSIONS)])
 
 
 @query("reference_label_mode", "select label, count(*) as n from kyc group by 1 order by n desc, label limit 1")

@@ -208,7 +208,7 @@ def _(b: Bank) -> DataFrame:
 @query("training_fraction_curve")
 def _(b: Bank) -> DataFrame:
     train, test = _halves(customers(b))
-    return models.size_curve(_balanced(train), test, (0.1, 0.4, 0.7, 1.0), models.tree())
+    return models.size_curve(_balanced(train), test, FRACTIONS, models.tree())
 
 
 @query("feature_importance")
@@ -271,9 +271,9 @@ INPUTS = ("dr1", "dr2", "OpenSanc_query", "label")
 
 @query("kmeans_elbow")
 def _(b: Bank) -> DataFrame:
-    return clusters.elbow(_points(b), INPUTS, range(2, 8))
+    return clusters.elbow(_points(b), INPUTS)
 
 
 @query("kmeans_assign")
 def _(b: Bank) -> DataFrame:
-    return clusters.kmeans(_points(b), INPUTS, 3).select("cust_id", "Clusters")
+    return clusters.kmeans(_points(b), INPUTS, 12).select("cust_id", "Clusters")
