@@ -46,3 +46,14 @@ def kmeans(df: DataFrame, columns: Sequence[str], k: int, seed: int = 1) -> Data
     vectors = _vectors(df, columns)
     model = KMeans(k=k, seed=seed, predictionCol="Clusters").fit(vectors)
     return model.transform(vectors).drop("features")
+
+
+def cluster_flag(df: DataFrame, columns: Sequence[str], k: int, cluster: int = 0, flag: str = "criminal_cash", seed: int = 1) -> DataFrame:
+    """Add the cluster of each row and whether it is the given one."""
+    return kmeans(df, columns, k, seed).withColumn(flag, (F.col("Clusters") == cluster).cast("int"))
+
+
+def cluster_shares(flagged: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Size and means of each cluster, from which the cluster to flag is chosen."""
+    means = [F.avg(F.col(c).cast("double")).alias(c) for c in columns]
+    return flagged.groupBy("Clusters").agg(F.count(F.lit(1)).alias("n"), *means)

@@ -103,15 +103,19 @@ def record_counts(parsed: DataFrame) -> DataFrame:
     )
 
 
-def similar_to(df: DataFrame, anchor: Column, threshold: float = 0.25, column: str = "embedding", ties: Sequence[str] = ()) -> DataFrame:
-    """Rows whose inner product with the anchor vector reaches the threshold, best first, equal ones by ``ties``."""
+def similarity(df: DataFrame, anchor: Column, column: str = "embedding") -> DataFrame:
+    """Add ``Score``, the inner product of a vector column with the anchor vector."""
     product = F.aggregate(
         F.zip_with(F.col(column), F.col("_anchor"), lambda a, b: a.cast("double") * b.cast("double")),
         F.lit(0.0),
         lambda s, x: s + x,
     )
-    scored = df.withColumn("_anchor", anchor).withColumn("Score", product).drop("_anchor")
-    return scored.filter(F.col("Score") >= threshold).orderBy(F.desc("Score"), *ties)
+    return df.withColumn("_anchor", anchor).withColumn("Score", product).drop("_anchor")
+
+
+def similar_to(df: DataFrame, anchor: Column, threshold: float = 0.25, column: str = "embedding", ties: Sequence[str] = ()) -> DataFrame:
+    """Rows whose inner product with the anchor vector reaches the threshold, best first, equal ones by ``ties``."""
+    return similarity(df, anchor, column).filter(F.col("Score") >= threshold).orderBy(F.desc("Score"), *ties)
 
 
 def mentions(articles: DataFrame, text: str = "Text", person: str = PERSON) -> DataFrame:

@@ -7,56 +7,146 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fathomline.operators.skew import running_totals
+from fathomline.operators.skew import HOT_ROWS, HOT_SHARE, key_code, running_totals, spread_join
+from fathomline.session import cut_lineage
 
 QUARTILES = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
 
 
-def quantiles(df: DataFrame, column: str, at: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact, linearly interpolated quantiles of any number of rows.
-
-    Equal values are counted first and the counts accumulated slice by slice, so no
-    task holds all values of a group.
+ACCURACY = 1000  # of the sketches: a rank is off by a thousandth of the rows
+SLACK = 0.004  # a bracket reaches this share of the rows below and above its mark
+FEW = 1000  # groups up to this size are bracketed as a whole
+
+
+def _sketches(picked: DataFrame, width: int, inner: Sequence[float]) -> DataFrame:
+    """One row per group, with a number and per column: n, mean, sd, least and largest value and a bracket around each mark."""
+    ends = [F.lit(min(max(q + d, 0.0), 1.0)) for q in inner for d in (-SLACK, SLACK)]
+    parts = []
+    for j in range(width):
+        v = F.col(f"_v{j}")
+        near = F.percentile_approx(v, F.array(*ends), ACCURACY) if ends else F.array().cast("array<double>")
+        parts.append(
+            F.struct(
+                F.count(v).alias("n"), F.avg(v).alias("mean"), F.stddev_pop(v).alias("sd"), F.min(v).alias("least"), F.max(v).alias("most"), near.alias("near")
+            ).alias(f"c{j}")
+        )
+    keys = [F.col(c) for c in picked.columns if c.startswith("_g")]
+    made = picked.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"), *parts)
+    return cut_lineage(made.withColumn("_group", F.monotonically_increasing_id()))
+
+
+def _grouped(picked: DataFrame, brackets: DataFrame, rows: DataFrame) -> DataFrame:
+    """Every row with the brackets of its group; ``rows`` (group sizes) tells the hot groups without another scan."""
+    keys = [c for c in picked.columns if c.startswith("_g")]
+    if not keys:
+        return picked.withColumn("_b", brackets.select(F.struct("_group", "_lo", "_hi").alias("b")).scalar()).select("*", "_b.*").drop("_b")
+    total = rows.agg(F.sum("_rows")).first()[0] or 0
+    large = rows.filter((F.col("_rows") > HOT_ROWS) & (F.col("_rows") * HOT_SHARE > total))
+    hot = [r[0] for r in large.select(key_code(keys)).collect()]  # fewer than HOT_SHARE of them
+    dim = brackets.withColumnsRenamed({k: f"_of{k}" for k in keys})
+    return spread_join(picked, dim, keys, [f"_of{k}" for k in keys], "inner", hot=hot, null_safe=True)
+
+
+def _ranked(picked: DataFrame, sketches: DataFrame, tasks: DataFrame, width: int, inner: Sequence[float]) -> DataFrame:
+    """(_group, at, lo, hi) for tasks (_group, at, least, most, n, q): the two values next to the mark, null if outside its bracket.
+
+    One scan: of each row and task, values in the bracket are counted by value and all those below as one.
     """
-    present = df.filter(F.col(column).isNotNull())
-    counts = present.groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
-    placed = running_totals(counts, column, ["_n"], by)
-    sizes = present.groupBy(*[F.col(c).alias(f"_of_{c}") for c in by]).agg(F.count(F.lit(1)).alias("_size"))
-    if by:
-        placed = placed.join(sizes, [F.col(c) == F.col(f"_of_{c}") for c in by])
+    cells = range(width * len(inner))
+
+    def side(name: str) -> Column:
+        return F.array(*[F.max(F.when(F.col("at") == i, F.col(name))) for i in cells])
+
+    arrays = tasks.groupBy("_group").agg(side("least").alias("_lo"), side("most").alias("_hi"))
+    keys = [c for c in sketches.columns if c.startswith("_g") and c != "_group"]
+    rows = _grouped(picked, sketches.select(*keys, "_group").join(arrays, "_group"), sketches)
+    seen = []
+    for i in cells:
+        v = F.col(f"_v{i // len(inner)}")
+        seen.append(F.when(v <= F.col("_hi")[i], F.struct(F.lit(i).alias("at"), F.when(v >= F.col("_lo")[i], v).alias("value"))))
+    hits = rows.select("_group", F.explode(F.filter(F.array(*seen), lambda s: s.isNotNull())).alias("s"))
+    counts = cut_lineage(hits.groupBy("_group", "s.at", "s.value").agg(F.count(F.lit(1)).alias("_n")))
+    longest = counts.groupBy("_group", "at").agg(F.count(F.lit(1)).alias("_rows")).agg(F.max("_rows")).first()[0] or 0
+    if longest <= HOT_ROWS:  # one task can sort the bracket; the row of those below has no value and comes first
+        before = Window.partitionBy("_group", "at").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        first = F.sum("_n").over(before) - F.col("_n")
+        placed = counts.withColumn("_first", first).join(tasks, ["_group", "at"])
     else:
-        placed = placed.withColumn("_size", sizes.scalar())
+        below = counts.filter("value is null").select("_group", "at", F.col("_n").alias("_below"))
+        known = tasks.join(below, ["_group", "at"], "left").withColumn("_below", F.coalesce("_below", F.lit(0)))
+        placed = running_totals(counts.filter("value is not null"), "value", ["_n"], ["_group", "at"]).join(known, ["_group", "at"])
+        placed = placed.withColumn("_first", F.col("_below") + F.col("before__n"))
+    first = F.col("_first")
+    h = (F.col("n") - 1) * F.col("q")
 
     def at_index(i: Column) -> Column:
-        here = (F.col("before__n") <= i) & (i < F.col("before__n") + F.col("_n"))
-        return F.max(F.when(here, F.col(column).cast("double")))
-
-    ends = []
-    for name, q in at.items():
-        h = (F.col("_size") - 1) * F.lit(q)
-        ends += [at_index(F.floor(h)).alias(f"_lo_{name}"), at_index(F.ceil(h)).alias(f"_hi_{name}")]
-    found = placed.groupBy(*by).agg(*ends, F.max("_size").alias("_size"))
-    out = []
-    for name, q in at.items():
-        h = (F.col("_size") - 1) * F.lit(q)
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((lo + (hi - lo) * (h - F.floor(h))).alias(name))
-    return found.select(*by, *out)
+        return F.max(F.when((first <= i) & (i < first + F.col("_n")), F.col("value")))
 
+    found = placed.groupBy("_group", "at").agg(at_index(F.floor(h)).alias("lo"), at_index(F.ceil(h)).alias("hi"))
+    return tasks.select("_group", "at", "n", "q").join(found, ["_group", "at"], "left")
 
-def five_num(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
-    """min, q1, median, q3, max, mean and population sd per group."""
-    marks = quantiles(df, column, QUARTILES, by)
-    moments = df.filter(F.col(column).isNotNull()).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("n"), F.avg(column).alias("mean"), F.stddev_pop(column).alias("sd")
-    )
+
+def summaries(df: DataFrame, columns: Sequence[str], at: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """Group, ``column``, exact linearly interpolated quantiles, n, mean and population sd: a row per group and column with values.
+
+    Two scans serve all columns and groups. The first takes sketches, which give a bracket of about a hundredth of the rows around
+    each mark; the second counts the values inside the brackets and the rows below. So only a few per cent of the
+    values are shuffled, no task holds a group, and a bracket that missed its mark (sketches promise no more than likely errors) is
+    taken anew from the least to the largest value. Null groups are groups; null values count nowhere. Without ``by`` a
+    column without values gives a row with n = 0.
+    """
+    inner = [q for q in at.values() if 0 < q < 1]
+    names = [f"`{c}`" for c in columns]
+    picked = df.select(*[F.col(f"`{c}`").alias(f"_g{i}") for i, c in enumerate(by)], *[F.col(c).cast("double").alias(f"_v{j}") for j, c in enumerate(names)])
+    sketches = _sketches(picked, len(columns), inner)
+    cells = []
+    for j in range(len(columns)):
+        c = f"c{j}"
+        for m, q in enumerate(inner):
+            whole = F.col(f"{c}.n") <= FEW
+            least = F.when(whole, F.col(f"{c}.least")).otherwise(F.col(f"{c}.near")[2 * m])
+            most = F.when(whole, F.col(f"{c}.most")).otherwise(F.col(f"{c}.near")[2 * m + 1])
+            cells.append(F.struct(F.lit(j * len(inner) + m).alias("at"), least.alias("least"), most.alias("most"), F.col(f"{c}.n").alias("n"), F.lit(q).alias("q"),
+                                  F.col(f"{c}.least").alias("from"), F.col(f"{c}.most").alias("to")))
+    marks = None
+    if cells:
+        tasks = sketches.select("_group", F.explode(F.array(*cells)).alias("t")).select("_group", "t.*").filter("n > 0")
+        ranked = cut_lineage(_ranked(picked, sketches, tasks, len(columns), inner))
+        missed = ranked.filter("lo is null or hi is null").select("_group", "at")
+        if not missed.isEmpty():
+            again = tasks.join(missed, ["_group", "at"], "left_semi").withColumns({"least": F.col("from"), "most": F.col("to")})
+            ranked = ranked.filter("lo is not null and hi is not null").unionByName(_ranked(picked, sketches, again, len(columns), inner))
+        h = (F.col("n") - 1) * F.col("q")
+        value = F.col("lo") + (F.col("hi") - F.col("lo")) * (h - F.floor(h))
+        m = F.pmod(F.col("at"), F.lit(len(inner)))
+        marks = ranked.groupBy("_group", F.floor(F.col("at") / len(inner)).cast("int").alias("_j")).agg(
+            *[F.max(F.when(m == i, value)).alias(f"_m{i}") for i in range(len(inner))]
+        )
+    each = F.explode(F.array(*[F.struct(F.lit(j).alias("_j"), F.lit(c).alias("column"), F.col(f"c{j}").alias("c")) for j, c in enumerate(columns)])).alias("x")
+    base = sketches.select("*", each).select("*", "x._j", "x.column", "x.c.n", "x.c.mean", "x.c.sd", "x.c.least", "x.c.most")
+    out = base.join(marks, ["_group", "_j"], "left") if marks is not None else base
     if by:
-        return marks.join(moments, list(by))
-    whole = moments.select(F.struct("n", "mean", "sd").alias("m")).scalar()
-    return marks.withColumn("_m", whole).select("*", "_m.n", "_m.mean", "_m.sd").drop("_m")
+        out = out.filter("n > 0")
+    place = {n: F.col("least") if q <= 0 else F.col("most") if q >= 1 else F.col(f"_m{inner.index(q)}") for n, q in at.items()}
+    return out.select(*[F.col(f"_g{i}").alias(c) for i, c in enumerate(by)], "column", *[e.alias(n) for n, e in place.items()], "n", "mean", "sd")
+
+
+def quantiles(df: DataFrame, column: str, at: dict[str, float], by: Sequence[str] = ()) -> DataFrame:
+    """The group and its exact, linearly interpolated quantiles."""
+    return summaries(df, [column], at, by).select(*[F.col(f"`{c}`") for c in by], *at)
+
+
+def five_nums(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """min, q1, median, q3, max, n, mean and population sd of each column per group."""
+    return summaries(df, columns, QUARTILES, by)
+
+
+def five_num(df: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """The same of one column, without its name."""
+    return five_nums(df, [column], by).drop("column")
 
 
 def _beta_fraction(a: np.ndarray, b: np.ndarray, x: np.ndarray, steps: int = 300) -> np.ndarray:

@@ -48,8 +48,8 @@ def _raw(df: DataFrame, name: str) -> DataFrame:
 @query("csv_scan", "select * from wire")
 def _(b: Bank) -> DataFrame:
     path = scratch_path(b.spark, "wire-csv")
-    tables.write_csv(_raw(b.wire, "wire_trxns"), path)
-    return tables.read_table(b.spark, "wire_trxns", path)
+    tables.write_csv(_raw(b.wire, "wire_trxns"), path, one_line=True)
+    return tables.read_table(b.spark, "wire_trxns", path, one_line=True)
 
 
 @query("rename_to_schema", "select * from emt")
@@ -1007,6 +1007,28 @@ def _(b: Bank) -> DataFrame:
     return stats.five_num(b.table("lineitem"), "l_quantity")
 
 
+SUMMED = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
+
+@query(
+    "five_number_summary_columns",
+    " union all ".join(
+        f"""select l_returnflag, '{c}' as "column", min({c}) as min, quantile_cont({c}, 0.25) as q1, quantile_cont({c}, 0.5) as median,
+      quantile_cont({c}, 0.75) as q3, max({c}) as max, count({c}) as n, avg({c}) as mean, stddev_pop({c}) as sd from lineitem group by 1"""
+        for c in SUMMED
+    ),
+    min=4,
+    q1=4,
+    median=4,
+    q3=4,
+    max=4,
+    mean=4,
+    sd=4,
+)
+def _(b: Bank) -> DataFrame:
+    return stats.five_nums(b.table("lineitem"), SUMMED, ["l_returnflag"])
+
+
 @query(
     "welch_ttest",
     """select m1, m2, s1, s2, n1, n2, (m1 - m2) / sqrt(s1 * s1 / n1 + s2 * s2 / n2) as t,
@@ -1046,14 +1068,20 @@ def _(b: Bank) -> DataFrame:
 # ---- composite risk ----------------------------------------------------------------------
 
 
-def signals(b: Bank) -> DataFrame:
-    """The master table of the composite score. Cash counts as criminal above the mean number of deposits."""
+def signals(b: Bank, flags: DataFrame | None = None) -> DataFrame:
+    """The master table of the composite score.
+
+    ``flags`` (cust_id, criminal_cash) come from the cash clusters. Without them cash counts as criminal above the
+    mean number of deposits, a rule that SQL can check.
+    """
     base = b.kyc_with_open_sanctions.select("cust_id", "Name", "Occupation", "OpenSanc_query")
     labelled = filters.flag_in(base, "cust_id", b.suspects.select("id"), "Label_Filtered")
     matched = matching.fuzzy_match(labelled, FUZZY_CHOICES)
     scaled = encode.minmax(matched.withColumn("similarity_score", F.coalesce("match_score", F.lit(0.0))), "similarity_score")
     weighted = joins.network_score(scaled, flow.weights_to(network_of(b), b.seeds))
     flagged = weighted.withColumn("Label_Filtered_network", scalar.threshold_flag(F.col("network_score"), 0.2))
+    if flags is not None:
+        return features.zero_fill(flagged.join(flags.select("cust_id", "criminal_cash"), "cust_id", "left"), ["criminal_cash"])
     cash = features.zero_fill(
         flagged.join(features.cash_deposits(b.cash).select("cust_id", "no_cash_deposits"), "cust_id", "left"), ["no_cash_deposits"]
     )

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fathomline.operators import clusters, encode, evaluate, features, models, neighbours, sampling
-from fathomline.plans.bank import feature_view
+from fathomline.operators import clusters, encode, evaluate, features, models, neighbours, risk, sampling, stats
+from fathomline.plans.bank import feature_view, signals
 from fathomline.plans.registry import query
 from fathomline.session import cut_lineage
 from fathomline.sources.fixtures import Bank
@@ -232,11 +232,12 @@ def _(b: Bank) -> DataFrame:
 
 @query("batch_inference")
 def _(b: Bank) -> DataFrame:
-    rows = view(b)
+    """Listed customers that the model was not fitted on."""
+    train, held_out = _halves(view(b))
     path = models.model_path(b.spark, "forest")
-    models.save_model(models.fit(rows, models.forest(numTrees=10)), path)
+    models.save_model(models.fit(train, models.forest(numTrees=10)), path)
     listed = b.seeds.unionByName(b.risk_ids).distinct()
-    return models.batch_score(models.load_model(path), rows, listed).select("cust_id", "label", "score", "predicted")
+    return models.batch_score(models.load_model(path), held_out, listed).select("cust_id", "label", "score", "predicted")
 
 
 @query("continuous_training")
@@ -247,9 +248,9 @@ def _(b: Bank) -> DataFrame:
 
 @query("score_customer")
 def _(b: Bank) -> DataFrame:
-    rows = customers(b)
-    model = models.fit(_balanced(rows), models.forest(numTrees=10))
-    return models.score_customer(model, rows).select("cust_id", "score", "risk_percent", "risk_tier")
+    train, held_out = _halves(customers(b))
+    model = models.fit(_balanced(train), models.forest(numTrees=10))
+    return models.score_customer(model, held_out).select("cust_id", "score", "risk_percent", "risk_tier")
 
 
 # ---- clusters ----------------------------------------------------------------------------
@@ -277,3 +278,34 @@ def _(b: Bank) -> DataFrame:
 @query("kmeans_assign")
 def _(b: Bank) -> DataFrame:
     return clusters.kmeans(_points(b), INPUTS, 12).select("cust_id", "Clusters")
+
+
+def cash_flags(b: Bank) -> DataFrame:
+    """Customers with their cluster of cash behaviour and whether it is cluster 0; written once, for several uses."""
+    return cut_lineage(clusters.cluster_flag(_points(b), INPUTS, 12).select("cust_id", "Clusters", "criminal_cash", *INPUTS))
+
+
+@query("criminal_cash")
+def _(b: Bank) -> DataFrame:
+    return cash_flags(b).select("cust_id", "Clusters", "criminal_cash")
+
+
+@query("criminal_cash_shares")
+def _(b: Bank) -> DataFrame:
+    return clusters.cluster_shares(cash_flags(b), INPUTS)
+
+
+@query("criminal_cash_ratio")
+def _(b: Bank) -> DataFrame:
+    return stats.rate_ratio(signals(b, cash_flags(b)), "criminal_cash", "Label_Filtered_network")
+
+
+@query("risk_weights_by_cluster")
+def _(b: Bank) -> DataFrame:
+    return risk.risk_weights(signals(b, cash_flags(b)))
+
+
+@query("risk_score_by_cluster")
+def _(b: Bank) -> DataFrame:
+    rows = cut_lineage(signals(b, cash_flags(b)))
+    return risk.risk_score(rows, risk.risk_weights(rows))

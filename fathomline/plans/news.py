@@ -35,8 +35,18 @@ def answer_table(b: Bank) -> DataFrame:
     return cut_lineage(answered(b).select("Link", "Title", "All_Names", "Q1_Name", "Q2_Name"))
 
 
+def article_scores(b: Bank) -> DataFrame:
+    """Link and Score: the stored vector of an article against that of the first; an article may have none."""
+    vectors = b.table("embeddings")
+    anchor = vectors.agg(F.min_by("embedding", "vec_id").alias("v")).scalar()
+    link = F.concat(F.lit("https://news.example/"), F.col("vec_id").cast("string"))
+    return news.similarity(vectors, anchor).select(link.alias("Link"), "Score")
+
+
 def offender_table(b: Bank) -> DataFrame:
-    return news.offenders(news.match_answers(answer_table(b)), [F.col("Link")])
+    """One article per offender: the best scored, those without a score last, then by link."""
+    scored = news.match_answers(answer_table(b)).join(article_scores(b), "Link", "left")
+    return news.offenders(scored, [F.coalesce(-F.col("Score"), F.lit(float("inf"))), F.col("Link")])
 
 
 NAMES_SQL = f"""list_reduce(list_prepend(cast([] as varchar[]), list_transform(regexp_extract_all(Text, '({PERSON})', 1), lambda x: [x])),
@@ -68,7 +78,9 @@ NEWS_VIEWS = (
     ),
     (
         "offenders",
-        "select Link as Links, Title as Titles, Criminal from matched qualify row_number() over (partition by Criminal order by Link, Title) = 1",
+        """select m.Link as Links, m.Title as Titles, m.Criminal from matched m left join (
+          select 'https://news.example/' || vec_id as Link, list_inner_product(embedding::double[], (select arg_min(embedding, vec_id)::double[] from embeddings)) as Score
+          from embeddings) s on s.Link = m.Link qualify row_number() over (partition by m.Criminal order by s.Score desc nulls last, m.Link, m.Title) = 1""",
     ),
 )
 
@@ -267,3 +279,11 @@ def _(b: Bank) -> DataFrame:
     path = scratch_path(b.spark, "articles-csv")
     tables.write_csv(b.articles.select("Link", "Title"), path)
     return b.spark.read.schema("Link string, Title string").option("header", True).option("escape", '"').csv(path)
+
+
+@query("article_text_csv", "select Link, Title, Text from articles")
+def _(b: Bank) -> DataFrame:
+    """Whole texts in files that can be split, read back."""
+    path = scratch_path(b.spark, "texts-csv")
+    tables.write_csv(b.articles, path, one_line=True)
+    return tables.read_csv(b.spark, path, b.articles.schema, one_line=True)

@@ -436,3 +436,58 @@ def test_literal_records_as_python_reads_them(spark):
             want = (None, None, False)
         assert (r.Title, r.Text, r.Parsed) == want, texts[r.id]
     assert sum(r.Parsed for r in rows) == 13
+
+
+def test_summaries_of_many_columns(spark, monkeypatch):
+    """Marks of every column and group as numpy gives them: by missed brackets, and with sliced brackets and hot groups."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    size = {"a": 2500, "b": 1, None: 1200}
+    rows = [(g, float(x), None if i % 3 else float(i % 7), None) for g, n in size.items() for i, x in enumerate(rng.lognormal(0, 3, n))]
+    df = spark.createDataFrame(rows, "g string, `x.y` double, z double, empty double")
+    for slack, hot in ((-0.01, stats.HOT_ROWS), (stats.SLACK, 5)):
+        monkeypatch.setattr(stats, "SLACK", slack)
+        monkeypatch.setattr(stats, "HOT_ROWS", hot)
+        got = {(r["g"], r["column"]): r for r in stats.five_nums(df, ["x.y", "z", "empty"], ["g"]).collect()}
+        assert len(got) == 2 * len(size)
+        for g in size:
+            for name, at in (("x.y", 1), ("z", 2)):
+                values = [r[at] for r in rows if r[0] == g and r[at] is not None]
+                want = [*np.quantile(values, [0, 0.25, 0.5, 0.75, 1]), len(values), np.mean(values), np.std(values)]
+                r = got[g, name]
+                assert [r[c] for c in ("min", "q1", "median", "q3", "max", "n", "mean", "sd")] == pytest.approx(want)
+    whole = stats.five_nums(df, ["empty", "z"]).collect()
+    assert {r["column"]: r["n"] for r in whole} == {"empty": 0, "z": sum(r[2] is not None for r in rows)}
+    assert stats.five_nums(df.limit(0), ["z"], ["g"]).collect() == []
+
+
+def test_csv_of_one_line_a_row(spark, tmp_path):
+    """Line breaks, backslashes and codes that look like breaks come back from files that are split by lines."""
+    rows = [(1, "a\nb\r\nc"), (2, "back\\slash \\n \\\\n \\\\"), (3, 'quote " and, comma'), (4, None), (5, "\\\n"), (6, "plain")]
+    df = spark.createDataFrame(rows, "id int, `a.b` string")
+    path = str(tmp_path / "lines")
+    tables.write_csv(df.coalesce(1), path, one_line=True)
+    assert sorted(map(tuple, tables.read_csv(spark, path, df.schema, one_line=True).collect())) == rows
+    lines = [line for f in (tmp_path / "lines").glob("part-*.csv") for line in f.read_text().split("\n") if line]
+    assert len(lines) == len(rows) + 1
+
+
+def test_offenders_by_score(spark):
+    rows = [("l1", "t1", "Ann", 0.2), ("l2", "t2", "Ann", 0.9), ("l3", "t3", "Ann", None), ("l4", "t4", "Bob", None)]
+    df = spark.createDataFrame(rows, "Link string, Title string, Criminal string, Score double")
+    order = [F.coalesce(-F.col("Score"), F.lit(float("inf"))), F.col("Link")]
+    assert sorted(map(tuple, news.offenders(df, order).collect())) == [("l2", "t2", "Ann"), ("l4", "t4", "Bob")]
+
+
+def test_cluster_flag(spark):
+    """Every row has a cluster, the flag marks one cluster, and equal rows share it."""
+    from fathomline.operators import clusters
+
+    df = spark.createDataFrame([(i, float(i % 4 * 100), None if i % 2 else 1.0) for i in range(80)], "id int, x double, y double")
+    flagged = clusters.cluster_flag(df, ["x", "y"], 4).cache()
+    got = flagged.collect()
+    assert all(r["criminal_cash"] == (r["Clusters"] == 0) for r in got) and len({r["Clusters"] for r in got}) == 4
+    assert len({(r["x"], r["Clusters"]) for r in got}) == 4
+    shares = clusters.cluster_shares(flagged, ["x", "y"]).collect()
+    assert sum(r["n"] for r in shares) == 80 and all(r["n"] == 20 for r in shares)
