@@ -1,13 +1,15 @@
 """Secret scans: fixed patterns, and strings that a primed zstandard encoder cannot shorten.
 
-After a sensitive word, a long string of key characters is measured by the bytes it adds
-to its surroundings when both are encoded with a dictionary of identifiers. Words and
-identifiers repeat what the dictionary or the surroundings hold; key material does not.
+Every string of key characters near a sensitive word, on either side and over line breaks, is
+measured by the bytes it adds to its surroundings when both are encoded with a dictionary of
+identifiers: as it stands, and folded to the words it is made of. Words and identifiers repeat what
+the dictionary or the surroundings hold; key material does not. The sizes alone decide.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
@@ -29,11 +31,15 @@ SENSITIVE = re.compile(
     r"pass(?:word|wd|phrase|code)|pwd|secret|token|credential|bearer|authorization|signature|(?:api|access|private|secret|auth|signing|encryption)[ _-]?key",
     re.I | re.A,
 )
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}")
-REACH = 48  # characters between the sensitive word and the candidate
+LEAST = 8  # characters of a string; shorter ones add too few bytes to be told from words
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")  # a run is always taken whole
+REACH = 64  # characters between a sensitive word and a string in its context
 AROUND = 256  # characters before and after that count as surroundings
-NOVEL = 0.5  # added bytes for each character of the candidate
-LEVEL = 12
+ADDED = 13  # bytes a reported string adds at least
+RATE, FOLDED_RATE = 0.9, 0.8  # added bytes for each character, as it stands and folded
+LEVEL = 19
+
+_FOLD = re.compile(r"(?<=[a-z])(?=[A-Z])|[^A-Za-z0-9+]+")
 
 IDENTIFIERS = (
     "access account action address admin api application args array auth base batch begin body bool boolean buffer build byte cache call "
@@ -64,31 +70,52 @@ def base_spans(text: str) -> list[Span]:
 
 
 def encoder() -> zstandard.ZstdCompressor:
-    words = IDENTIFIERS + IDENTIFIERS.title().replace(" ", "") + " " + IDENTIFIERS.upper().replace(" ", "_")
-    primed = zstandard.ZstdCompressionDict(words.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    primed = zstandard.ZstdCompressionDict((IDENTIFIERS + " ").encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    primed.precompute_compress(level=LEVEL)
     return zstandard.ZstdCompressor(level=LEVEL, dict_data=primed, write_content_size=False)
 
 
+def folded(string: str) -> str:
+    """The words of an identifier in lower case, with blanks between them."""
+    return _FOLD.sub(" ", string).lower()
+
+
+def added_bytes(before: str, string: str, after: str, primed: zstandard.ZstdCompressor) -> tuple[int, int]:
+    """Bytes that a string adds to its surroundings, as it stands and folded."""
+
+    def size(middle: str) -> int:
+        return len(primed.compress((before + middle + after).encode("utf-8", "replace")))
+
+    alone = size("  ")
+    return size(f" {string} ") - alone, size(f" {folded(string)} ") - alone
+
+
 def novel_spans(text: str, taken: list[Span], primed: zstandard.ZstdCompressor) -> list[Span]:
-    """Candidates after sensitive words that overlap no base span and add more than ``NOVEL`` bytes per character."""
-    found: dict[int, Span] = {}
-    for word in SENSITIVE.finditer(text):
-        line = text.find("\n", word.end(), word.end() + REACH)
-        m = CANDIDATE.search(text, word.end(), word.end() + REACH + 16)
-        if not m or (line >= 0 and m.start() > line) or m.start() in found or m.start() - word.end() > REACH:
-            continue
-        m = CANDIDATE.match(text, m.start())  # to its own end, not to the end of the search
-        string = m.group()
-        if not re.search("[0-9]", string) or not re.search("[A-Za-z]", string):
+    """Strings near sensitive words that overlap no base span and that the encoder cannot shorten. Linear in the text."""
+    words = [m.span() for m in SENSITIVE.finditer(text)]
+    if not words:
+        return []
+    starts = [s for s, _ in words]
+    covered: list[list[int]] = []  # base spans, overlapping ones joined
+    for s, e in sorted((s, e) for _, s, e, _ in taken):
+        if covered and s < covered[-1][1]:
+            covered[-1][1] = max(covered[-1][1], e)
+        else:
+            covered.append([s, e])
+    found, near = [], 0
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        word = bisect_right(starts, end + REACH) - 1  # the last one that begins in reach
+        if word < 0 or words[word][1] < start - REACH:
             continue
-        if any(s < m.end() and m.start() < e for _, s, e, _ in taken):
+        while near < len(covered) and covered[near][1] <= start:
+            near += 1
+        if near < len(covered) and covered[near][0] < end:
             continue
-        before, after = text[max(0, m.start() - AROUND) : m.start()], text[m.end() : m.end() + AROUND]
-        with_it = len(primed.compress((before + string + after).encode("utf-8", "replace")))
-        added = (with_it - len(primed.compress((before + after).encode("utf-8", "replace")))) / len(string)
-        if added >= NOVEL:
-            found[m.start()] = ("novel", m.start(), m.end(), added)
-    return list(found.values())
+        plain, fold = added_bytes(text[max(0, start - AROUND) : start], m.group(), text[end : end + AROUND], primed)
+        if min(plain, fold) >= ADDED and plain >= RATE * (end - start) and fold >= FOLDED_RATE * (end - start):
+            found.append(("novel", start, end, plain / (end - start)))
+    return found
 
 
 def spans(text: str | None, primed: zstandard.ZstdCompressor) -> list[Span]:
@@ -110,13 +137,16 @@ def scanner():
 def find_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every row with ``secrets``: an array of (kind, start, end, added), empty for null and empty texts.
 
-    Repeated rows are scanned each on its own; an input column named ``secrets`` is replaced.
+    Texts of any length are read whole; only the surroundings of a string are encoded, so the work grows with the length. Repeated
+    rows are scanned each on its own; an input column named ``secrets`` is replaced, other columns may have any names. An
+    empty table gives an empty one.
     """
     scanned = packed(docs).select("row", scanner()(F.col(f"row.`{text}`")).alias("secrets"))
     return unpacked(scanned, docs.columns, {"secrets": F.col("secrets")})
 
 
 def op1_secret_scan(docs: DataFrame) -> DataFrame:
+    """Per document the numbers and digest of the base spans and all spans; null and empty texts have none."""
     found = find_secrets(docs.select("doc_id", "text")).select("doc_id", "secrets")
 
     def n(kind: str):
