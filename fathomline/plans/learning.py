@@ -195,6 +195,22 @@ def _(b: Bank) -> DataFrame:
     return models.compare(whole, balanced)
 
 
+@query("model_comparison_encoding")
+def _(b: Bank) -> DataFrame:
+    """Codes against one column per category."""
+    coded = models.nested_cv(customers(b), models.tree(), {"maxDepth": [4]}, 3, 2, balance=_balanced, setting="label")
+    hot = models.nested_cv(customers(b), models.tree(), {"maxDepth": [4]}, 3, 2, one_hot=True, balance=_balanced, setting="one hot")
+    return models.compare(coded, hot)
+
+
+@query("model_comparison_features")
+def _(b: Bank) -> DataFrame:
+    """Customer data alone against the features of transactions."""
+    plain = models.nested_cv(customers(b), models.tree(), {"maxDepth": [4]}, 3, 2, balance=_balanced, setting="customers")
+    built = models.nested_cv(view(b), models.tree(), {"maxDepth": [4]}, 3, 2, balance=_balanced, setting="features")
+    return models.compare(plain, built)
+
+
 @query("best_of_family")
 def _(b: Bank) -> DataFrame:
     families = {

@@ -100,3 +100,15 @@ def test_permutation_drop_of_all_columns_in_one_pass(spark):
         mixed = hash_rank(df, "cust_id", 1, [], "here").join(given, F.col("here") == F.col("there")).withColumn(c, F.col("given"))
         assert got[c] == pytest.approx(whole - models.auc_of(models.score(model, mixed.select(*df.columns))), abs=1e-12)
     assert got["a"] > got["s"] > 0.01
+
+
+def test_comparisons_have_both_settings(spark):
+    """Two settings of three folds each, with one test between them."""
+    from fathomline.operators import models
+
+    names = ("setting string", "fold int", "auc double")
+    first = spark.createDataFrame([("label", i, 0.7 + i / 100) for i in range(3)], ", ".join(names))
+    second = spark.createDataFrame([("one hot", i, 0.8 + i / 50) for i in range(3)], ", ".join(names))
+    got = {r["setting"]: r for r in models.compare(first, second).collect()}
+    assert {s: r["n"] for s, r in got.items()} == {"label": 3, "one hot": 3}
+    assert abs(got["label"]["median"] - 0.71) < 1e-12 and got["label"]["t"] == got["one hot"]["t"] < 0
