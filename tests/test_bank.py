@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fathomline.functions import scalar, text
 from fathomline.operators import encode, evaluate, explore, features, filters, flow, graph, joins, matching, news, quality, risk, stats
+from fathomline.plans import network
 from fathomline.sources import schemas, tables
 
 KYC = [
@@ -164,6 +165,16 @@ def test_label_propagation_ends_and_equals_plain_python(spark, pairs):
     assert {r.node: r.community for r in graph.label_propagation(edges).collect()} == settled(pairs)
 
 
+def test_communities_are_settled_by_plain_votes(spark, monkeypatch):
+    """A chain of payers: all end with the label of its last node, however often the first ones have to change."""
+    chain = [f"c{i:02d}" for i in range(19)]
+    pairs = list(zip(chain, chain[1:]))
+    assert set(settled(pairs).values()) != {"c18"}  # growing majorities stop some nodes on the way
+    edges = spark.createDataFrame([(a, b, 1.0) for a, b in pairs], "Source string, Target string, Weight double")
+    monkeypatch.setattr(network, "weighted_edges", lambda b: edges)
+    assert {r.node: r.community for r in network.communities(None).collect()} == dict.fromkeys(chain, "c18")
+
+
 def modularity_of(edges, label):
     """Plain Python; edges (a, b, w)."""
     m2 = 2 * sum(w for *_, w in edges)
