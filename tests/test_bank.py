@@ -414,6 +414,28 @@ def test_all_declared_keys_in_one_pass(spark):
     assert set(empty.values()) == {0} and len(empty) == 6
 
 
+def test_customers_with_the_same_names_are_alike(spark):
+    names = [("1", "DR.ANN LEE"), ("2", "Ann  Lee"), ("3", "ANN LEE"), ("3", "BOB"), ("4", "bob"), ("4", "ann lee"), (None, "Bob"), ("5", None), ("6", "--")]
+    df = matching.alike(spark.createDataFrame(names, "customer_id string, name string"))
+    groups = {}
+    for r in df.collect():
+        groups.setdefault(r.alike, set()).add(r.customer_id)
+    assert sorted(map(sorted, (map(str, g) for g in groups.values()))) == [["1", "2"], ["3", "4"], ["None"]]
+
+
+def test_pairs_of_texts_and_customers_are_not_shuffled(spark, capsys):
+    """Two texts under one link and names in several spellings give every pair once, with no aggregate over the pairs."""
+    texts = spark.createDataFrame([("L", "Ann Lee met Bob."), ("L", "ann lee"), (None, "Bob"), (None, "bob")], "Link string, Text string")
+    names = spark.createDataFrame([("1", "DR.ANN LEE"), ("1", "Ann Lee"), ("2", "Ann Lee"), (None, "BOB")], "customer_id string, name string")
+    found = matching.names_in_texts(texts, names)
+    rows = [(r.Link, r.customer_id, r.name) for r in found.collect()]
+    pairs = {("L", "1", "DR.ANN LEE"), ("L", "1", "Ann Lee"), ("L", "2", "Ann Lee"), ("L", None, "BOB"), (None, None, "BOB")}
+    assert len(rows) == len(pairs) and set(rows) == pairs
+    found.explain()
+    plan = capsys.readouterr().out
+    assert "Join" in plan and not any("Aggregate" in line for line in plan[: plan.index("Join")].splitlines())
+
+
 def test_known_names_in_texts(spark):
     texts = [
         (1, "Yesterday ann-lee (of O'Hara Ltd.) met Dr. Smith."), (2, None), (3, ""), (4, "JOANN LEE, Ann; Lee Annlee"), (5, "Ann Lee Smith! ann lee"),
