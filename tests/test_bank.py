@@ -1,12 +1,13 @@
 """Hand-made rows for the rules that are easy to get wrong."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from fathomline.functions import scalar, text
-from fathomline.operators import encode, evaluate, explore, features, filters, flow, graph, joins, matching, news, quality, risk, stats
+from fathomline.operators import encode, evaluate, explore, features, filters, flow, graph, joins, matching, news, quality, risk, skew, stats
 from fathomline.plans import network
 from fathomline.sources import schemas, tables
 
@@ -175,6 +176,31 @@ def test_communities_are_settled_by_plain_votes(spark, monkeypatch):
     assert {r.node: r.community for r in network.communities(None).collect()} == dict.fromkeys(chain, "c18")
 
 
+def test_a_round_of_votes_leaves_the_state_in_its_buckets(spark, monkeypatch):
+    """Of a round only votes and voters move: no plan deals the state out by its nodes once more."""
+    plans = []
+    write = graph.AlternatingBuckets.write
+    monkeypatch.setattr(graph.AlternatingBuckets, "write", lambda self, df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(self, df))[1])
+    monkeypatch.setattr(graph, "HELD_ROWS", 50)
+    pairs = random_pairs(2, 60, 200)
+    for few in (0, 10**9):  # 0: in every round few have changed, else in none
+        monkeypatch.setattr(graph, "FEW", few)
+        plans.clear()
+        edges = spark.createDataFrame(pairs, "src string, dst string")
+        assert {r.node: r.community for r in graph.label_propagation(edges).collect()} == settled(pairs)
+        assert len(plans) > 2
+        assert not [p for p in plans[1:] if re.search(r"hashpartitioning\((id|_dst|_moved)#", p)], plans[-1]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_votes_with_hot_ends(spark, monkeypatch, seed):
+    """Every end is taken for hot, so rows are spread and copied; the communities are the same."""
+    monkeypatch.setattr(graph, "hot_keys", lambda df, *keys: skew.hot_keys(df, *keys, min_rows=0))
+    pairs = random_pairs(seed, 20, 60)
+    edges = spark.createDataFrame(pairs, "src string, dst string")
+    assert {r.node: r.community for r in graph.label_propagation(edges).collect()} == settled(pairs)
+
+
 def modularity_of(edges, label):
     """Plain Python; edges (a, b, w)."""
     m2 = 2 * sum(w for *_, w in edges)
