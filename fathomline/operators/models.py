@@ -62,6 +62,11 @@ def encoder(df: DataFrame, one_hot: bool = False) -> list:
     return stages
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """The rows written in as many even files as the cluster has cores: what is fitted on them runs on all cores, however small the table is on disk."""
+    return cut_lineage(df.repartition(df.sparkSession.sparkContext.defaultParallelism))
+
+
 def no_nulls(df: DataFrame) -> DataFrame:
     """Numbers without a value are 0, as everywhere in the feature table."""
     _, number = split_columns(df)
@@ -139,7 +144,7 @@ def grid_search(
 
     The first of equally good points wins. Folds come from a hash, so every point sees the same ones.
     """
-    folds = cut_lineage(no_nulls(sampling.kfold(df, LABEL, k, id_col)))
+    folds = spread_rows(no_nulls(sampling.kfold(df, LABEL, k, id_col)))
     stages = Pipeline(stages=encoder(folds, one_hot)).fit(folds)
     points = grid_points(estimator, grid)
     search = CrossValidator(
@@ -168,7 +173,7 @@ def nested_cv(
     setting: str = "model",
 ) -> DataFrame:
     """AUC per outer fold: tuned on the other folds, tested on the one left out. The loop is over folds, not rows."""
-    folds = cut_lineage(sampling.kfold(df, LABEL, outer, id_col).withColumnRenamed("fold", "outer_fold"))
+    folds = spread_rows(sampling.kfold(df, LABEL, outer, id_col).withColumnRenamed("fold", "outer_fold"))
     results = []
     for i in range(outer):
         dev = folds.filter(F.col("outer_fold") != i).drop("outer_fold")

@@ -112,3 +112,12 @@ def test_comparisons_have_both_settings(spark):
     got = {r["setting"]: r for r in models.compare(first, second).collect()}
     assert {s: r["n"] for s, r in got.items()} == {"label": 3, "one hot": 3}
     assert abs(got["label"]["median"] - 0.71) < 1e-12 and got["label"]["t"] == got["one hot"]["t"] < 0
+
+
+def test_folds_are_fitted_on_all_cores(rows, monkeypatch):
+    """A table that Spark would write as one file is dealt out evenly, so that a fit is not one task."""
+    written, cut = [], models.cut_lineage
+    monkeypatch.setattr(models, "cut_lineage", lambda df: written.append(cut(df)) or written[-1])
+    models.nested_cv(rows, models.tree(), {"maxDepth": [2]}, 2, 2)
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    assert len(written) == 3 and all(len(w.inputFiles()) == cores and w.rdd.getNumPartitions() > 1 for w in written)
