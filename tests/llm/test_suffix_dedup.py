@@ -83,3 +83,53 @@ def test_smallest_takes_the_first_of_equals():
 def test_empty_table(docs_of):
     assert s.repeated_spans(docs_of([])).count() == 0
     assert result(s.op7_suffix_dedup(docs_of([(1, None)]))) == brute([(1, None)])
+
+
+def brute_passages(rows):
+    texts = [t and "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t).split() or [] for _, t in rows]
+    held = {}
+    for n, words in enumerate(texts):
+        for p in range(len(words) - s.PASSAGE + 1):
+            held.setdefault(tuple(words[p : p + s.PASSAGE]), set()).add(n)
+    out = []
+    for (i, _), words in zip(rows, texts):
+        run = best = 0
+        for p in range(len(words) - s.PASSAGE + 1):
+            run = run + 1 if len(held[tuple(words[p : p + s.PASSAGE])]) > 1 else 0
+            best = max(best, run)
+        out.append((str(i), best + s.PASSAGE - 1 if best else 0))
+    return sorted(out)
+
+
+def passages(df):
+    return sorted((str(r["doc_id"]), r["longest_shared"]) for r in df.collect())
+
+
+def test_shared_passages_under_400_bytes(docs_of):
+    """A passage of over 50 short words counts, with other white space and case too; what one row alone repeats does not."""
+    short = " ".join(f"w{k}" for k in range(60))
+    assert len(short) < s.LENGTH
+    rows = [(1, f"{prose(1, 80)} {short} {prose(2, 9)}"), (2, f"{prose(3, 30)}\n{short.upper().replace(' ', chr(9))} {prose(4, 80)}")]
+    rows += [(3, f"{prose(5, 100)} {prose(6, 9)} {prose(5, 100)}"), (4, " ".join(short.split()[:50])), (5, "a " * 300)]
+    got = {r["doc_id"]: (r["longest_shared"], r["n_removed"] > 0) for r in s.op7_suffix_dedup(docs_of(rows)).collect()}
+    assert got == {1: (60, False), 2: (60, False), 3: (0, True), 4: (0, False), 5: (0, True)}
+
+
+def test_shared_passages_equal_brute_force(docs_of, monkeypatch):
+    monkeypatch.setattr(s, "BUCKET_SAMPLES", 20)
+    monkeypatch.setattr(s, "BUCKET_WINDOWS", 50)
+    rows, shared = made(), prose(77, 150).split()
+    r = random.Random(5)
+    for k in range(60):  # pieces of one passage, also twice in a row
+        a, b = r.randrange(0, 90), r.randrange(0, 90)
+        pieces = [shared[a : a + r.randrange(45, 75)], shared[b : b + r.randrange(45, 75)]]
+        rows.append((100 + k, " ".join([prose(2000 + k, 5), *pieces[0], prose(3000 + k, 7), *pieces[k % 2]])))
+    want = brute_passages(rows)
+    assert len({n for _, n in want}) > 20
+    assert passages(s.op7_suffix_dedup(docs_of(rows))) == want
+
+
+def test_shared_passages_of_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    assert passages(s.op7_suffix_dedup(docs)) == brute_passages(rows)
