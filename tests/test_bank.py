@@ -253,6 +253,63 @@ def test_louvain_finds_two_cliques(spark):
     assert graph.modularity(edges, found).first().modularity > 0.4
 
 
+def test_louvain_takes_few_jobs_where_one_task_holds_a_level(spark, monkeypatch):
+    """Rounds on a level of few nodes and edges write nothing; the result is that of rounds over all tasks."""
+    import random
+
+    r = random.Random(7)
+    edges = [(f"n{a:02d}", f"n{b:02d}", r.randrange(1, 9) + r.random()) for a in range(50) for b in range(a + 1, 50) if r.random() < (0.6 if a % 5 == b % 5 else 0.1)]
+    edges += [("n03", "n03", 2.5), ("alone", "alone", 1.0), (None, None, 1.0)]
+    table = spark.createDataFrame(edges, "a string, b string, w double")
+    cuts, cut = [], graph.cut_lineage
+    monkeypatch.setattr(graph, "cut_lineage", lambda df: (cuts.append(1), cut(df))[1])
+    found = {x.node: x.community for x in graph.louvain(table).collect()}
+    few = len(cuts)
+    assert found == {x.node: x.community for x in graph.louvain(table, task_rows=0).collect()}
+    assert few < 30 < len(cuts) - few
+    assert len(set(found.values())) < 12 and found["alone"] == "alone"
+
+
+def test_draws_are_those_of_spark(spark):
+    import numpy as np
+
+    from fathomline.operators import moves
+
+    rows = spark.range(200).select(F.xxhash64(F.concat(F.lit("C"), "id")).alias("h"), *[(F.pmod(F.xxhash64(F.concat(F.lit("C"), "id"), F.lit(s)), F.lit(2)) == 0).alias(f"s{s}") for s in (1, 70_000)]).collect()
+    for s in (1, 70_000):
+        assert moves.drawn(np.array([x.h for x in rows]), s).tolist() == [x[f"s{s}"] for x in rows]
+
+
+def test_slots_follow_any_moves(monkeypatch):
+    """Weights summed anew for some nodes, in a table or after a sort, in one part or many, are those of all edges."""
+    import numpy as np
+
+    from fathomline.operators import moves
+
+    r = np.random.default_rng(5)
+    a, b = np.triu_indices(40, 1)
+    some = r.random(len(a)) < 0.2
+    a, b, n = a[some].astype(np.int32), b[some].astype(np.int32), 41  # node 40 has no edge
+    w = r.integers(1, 5, len(a)).astype(float)
+    for block, dense in ((1 << 20, 8), (16, 8), (16, 0)):
+        monkeypatch.setattr(moves, "BLOCK", block)
+        monkeypatch.setattr(moves, "DENSE", dense)
+        options, k = moves.Options(a, b, w, n), np.bincount(a, w, n) + np.bincount(b, w, n)
+        for _ in range(4):
+            community = r.integers(0, 12, n).astype(np.int32)
+            options.follow(community)
+            total = np.bincount(community, k, n)
+            inner, to, worth = options.best(community, total, k, k.sum())
+            for x in range(n):
+                towards = {}
+                for i, j, weight in [*zip(a, b, w), *zip(b, a, w)]:
+                    if i == x:
+                        towards[community[j]] = towards.get(community[j], 0.0) + weight
+                assert inner[x] == towards.pop(community[x], 0.0)
+                gains = {c: g - total[c] * k[x] / k.sum() for c, g in towards.items()}
+                assert to[x] == min(gains, key=lambda c: (-gains[c], c), default=-1) and (not gains or worth[x] == gains[to[x]])
+
+
 def test_community_measures(spark):
     pairs = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d")], "a string, b string")
     groups = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "2"), ("d", "3")], "node string, community string")
