@@ -519,6 +519,43 @@ def test_pairs_of_texts_and_customers_are_not_shuffled(spark, capsys):
     assert "Join" in plan and not any("Aggregate" in line for line in plan[: plan.index("Join")].splitlines())
 
 
+def test_only_runs_that_may_be_names_are_joined(spark, monkeypatch):
+    """Texts are cut into words and written down to the few runs that begin like a name, before anything counts or joins them."""
+    texts = spark.createDataFrame([(k, " ".join(f"w{k}x{i}" for i in range(300)) + f". Ann Lee met Bob{k}, ann!") for k in range(20)], "Link int, Text string")
+    names = spark.createDataFrame([("1", "Ann Lee"), ("2", "BOB3"), ("3", "Lee Met Ann")], "customer_id string, name string")
+    facts, join = [], matching.spread_join
+    monkeypatch.setattr(matching, "spread_join", lambda fact, *rest, **more: (facts.append(fact), join(fact, *rest, **more))[1])
+    found = matching.names_in_texts(texts, names)
+    assert {(r.Link, r.customer_id) for r in found.collect()} == {(k, "1") for k in range(20)} | {(3, "2")}
+    assert "Generate" not in facts[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert facts[0].count() < 500
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 20])
+def test_names_in_texts_as_searched_one_by_one(spark, monkeypatch, bits):
+    """Marks that are shared by many words, and texts and names with signs at their ends, change nothing."""
+    import random
+    import re
+
+    monkeypatch.setattr(matching, "FIRST_BITS", bits)
+    r = random.Random(bits)
+    parts = ["ann", "Lee", "BOB", "o'hara", "Straße", "7", "é", "zu", "ten", "x"]
+
+    def drawn(n):
+        return r.choice(["", " ", "-", "("]) + "".join(r.choice(parts) + r.choice([" ", "  ", "-", "; ", ".\n"]) for _ in range(n)) + r.choice(["", "!"])
+
+    texts = [(k, drawn(r.randrange(12))) for k in range(40)]
+    names = [(str(k), drawn(r.randrange(1, 4))) for k in range(30)]
+
+    def flat(text):
+        return " " + " ".join(w for w in re.split(r"[\W_]+", text.upper()) if w) + " "
+
+    want = {(t, c, n) for t, text in texts for c, n in names if flat(n) in flat(text)}
+    found = matching.names_in_texts(spark.createDataFrame(texts, "Link int, Text string"), spark.createDataFrame(names, "customer_id string, name string"))
+    rows = [tuple(x) for x in found.collect()]
+    assert len(rows) == len(want) > 20 and set(rows) == want
+
+
 def test_known_names_in_texts(spark):
     texts = [
         (1, "Yesterday ann-lee (of O'Hara Ltd.) met Dr. Smith."), (2, None), (3, ""), (4, "JOANN LEE, Ann; Lee Annlee"), (5, "Ann Lee Smith! ann lee"),
